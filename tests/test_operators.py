@@ -1,0 +1,227 @@
+"""Operators on small inputs: tags, items, samples, subsets, files, vectors."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagmatch import Scale
+from tagmatch.functions.tags import tag_words
+from tagmatch.operators.catalog import hash_catalog, item_catalog, item_tag_lookup, item_title_lookup
+from tagmatch.operators.interactions import sample_interactions, user_item_lists
+from tagmatch.operators.similarity import vector_cosine_topk
+from tagmatch.operators.subset import build_subset, pick_user, subset_by_keys, subset_users
+from tagmatch.plans import skew
+from tagmatch.sources import files
+from tagmatch.sources.shared import shared_folder
+
+
+def words_of(spark, tags):
+    df = spark.createDataFrame([(tags,)], "tags array<string>")
+    return df.select(tag_words(F.col("tags")).alias("w")).first().w
+
+
+@pytest.mark.parametrize(
+    ("tags", "words"),
+    [
+        (["Action"], ["action"]),
+        ([" Free  To\tPlay "], ["free to play"]),
+        (["\n\tA\r\nB\n"], ["a b"]),
+        (["Puzzle, Logic"], ["puzzle", " logic"]),
+        (["a,"], ["a", ""]),
+        ([",", "b"], ["", "", "b"]),
+        (["a", None, "b"], ["a", "b"]),
+        ([None], [""]),
+        (["  "], [""]),
+    ],
+)
+def test_tag_words(spark, tags, words):
+    assert words_of(spark, tags) == words
+
+
+def test_doubled_items_count_once(spark):
+    items = spark.createDataFrame(
+        [(1, "A"), (1, "B"), (2, None), (None, "C")], "app_id int, title string"
+    )
+    tags = spark.createDataFrame(
+        [(1, ["x"]), (1, ["y"]), (2, []), (2, ["z"]), (3, ["q"])], "app_id int, tags array<string>"
+    )
+    assert {r.app_id: r.title for r in item_title_lookup(items).collect()} == {1: "B", 2: None}
+    assert {r.app_id: r.tags for r in item_tag_lookup(tags).collect()} == {
+        1: ["y"], 2: ["z"], 3: ["q"],
+    }
+    titled = {r.app_id: (r.title, r.words) for r in item_catalog(items, tags).collect()}
+    assert titled == {1: ("B", ["y"]), 2: (None, ["z"])}
+    tagged = {r.app_id: r.has_title for r in item_catalog(items, tags, "tagged").collect()}
+    assert tagged == {1: True, 2: True, 3: False}
+
+
+def test_hashed_words_keep_their_number(spark):
+    catalog = spark.createDataFrame(
+        [(1, "A", True, ["x", "x", "y"]), (2, "B", True, ["y"])],
+        "app_id int, title string, has_title boolean, words array<string>",
+    )
+    hashed = {r.app_id: sorted(r.words) for r in hash_catalog(catalog).collect()}
+    assert len(hashed[1]) == 3 and len(set(hashed[1])) == 2
+    assert hashed[2][0] in hashed[1]
+    one_bucket = hash_catalog(catalog, 1).filter("app_id = 1").first()
+    assert one_bucket.words == [0, 0, 0]
+
+
+def test_sample_by_columns_ignores_layout(spark):
+    rows = spark.range(20_000).withColumn("x", F.col("id") * 7)
+    one = {r.id for r in sample_interactions(rows.repartition(3), by=["id"]).collect()}
+    other = {r.id for r in sample_interactions(rows.repartition(17), by=["id"]).collect()}
+    assert one == other
+    assert len(one) == pytest.approx(7_000, rel=0.05)
+    assert sample_interactions(rows, 1.0, by=["id"]).count() == 20_000
+    assert sample_interactions(rows, 0.0, by=["id"]).count() == 0
+    another_seed = {r.id for r in sample_interactions(rows, seed=20, by=["id"]).collect()}
+    assert another_seed != one
+
+
+def test_plain_sample(spark):
+    rows = spark.range(20_000)
+    drawn = sample_interactions(rows, 0.35, 19).collect()
+    assert len(drawn) == len({r.id for r in drawn}) == pytest.approx(7_000, rel=0.05)
+
+
+def test_item_lists_in_pages(spark):
+    liked = spark.createDataFrame(
+        [(1, 25), (1, 3), (1, 3), (1, 10), (2, 7)], "user_id int, app_id int"
+    )
+    pages = user_item_lists(liked, Scale(page_ids=10)).orderBy("user_id", "page").collect()
+    assert [tuple(r) for r in pages] == [
+        (1, 0, [3], [2]), (1, 1, [10], [1]), (1, 2, [25], [1]), (2, 0, [7], [1]),
+    ]
+
+
+USERS = [(1, 5), (2, 9), (3, 1), (4, 5), (5, 6), (None, 9)]
+
+
+@pytest.fixture
+def users(spark):
+    return spark.createDataFrame(USERS, "user_id int, reviews int")
+
+
+@pytest.mark.parametrize(
+    ("most", "target", "chosen"),
+    [(2, 5, [1, 5]), (10, 5, [1, 2, 4, 5]), (3, 3, [1, 2]), (2, None, [1, 2]), (1, 4, [4])],
+)
+def test_subset_users(users, most, target, chosen):
+    found = subset_users(users, 5, most, target).collect()
+    assert sorted(r.user_id for r in found) == chosen
+
+
+def test_pick_user_ignores_layout(users):
+    one = pick_user(users.repartition(1)).collect()
+    other = pick_user(users.repartition(4)).collect()
+    assert one == other and len(one) == 1 and one[0].user_id is not None
+    assert pick_user(users.filter("reviews > 99")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "scale", [Scale(), Scale(hot_rows=0, hot_share=1e-9), Scale(hot_rows=2, hot_share=0.0)]
+)
+@pytest.mark.parametrize("bound", [None, 10])
+def test_subset_by_keys(spark, scale, bound):
+    rows = spark.createDataFrame(
+        [("a", 1), ("b", 1), ("b", 1), ("c", 2), ("d", 3), ("e", None)], "v string, k int"
+    )
+    keys = spark.createDataFrame([(1,), (1,), (3,), (9,), (None,)], "k int")
+    kept = subset_by_keys(rows, keys, "k", bound, scale)
+    assert kept.columns == ["v", "k"]
+    assert sorted(r.v for r in kept.collect()) == ["a", "b", "b", "d"]
+
+
+def test_build_subset(spark, users):
+    interactions = spark.createDataFrame(
+        [(1, 10, True), (2, 11, True), (2, 12, False), (3, 13, True), (5, 10, True), (5, 14, True)],
+        "user_id int, app_id int, is_recommended boolean",
+    )
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(10, 15)], "app_id int, title string")
+    tags = spark.createDataFrame([(i, ["x"]) for i in range(10, 15)], "app_id int, tags array<string>")
+    subset = build_subset(interactions, items, tags, users, 5, 2, target_user=5, fraction=1.0)
+    kept = sorted((r.user_id, r.app_id) for r in subset.interactions.collect())
+    assert kept == [(1, 10), (5, 10), (5, 14)]
+    assert sorted(r.app_id for r in subset.items.collect()) == [10, 14]
+    assert sorted(r.app_id for r in subset.item_tags.collect()) == [10, 14]
+    assert subset.interactions.columns == interactions.columns
+    sampled = build_subset(
+        interactions, items, tags, users, 5, 9, fraction=0.5, sample_by=["user_id", "app_id"]
+    )
+    assert {(r.user_id, r.app_id) for r in sampled.interactions.collect()} <= {
+        (1, 10), (2, 11), (5, 10), (5, 14),
+    }
+
+
+def test_csv_modes_and_bad_keys(spark, tmp_path):
+    path = str(tmp_path / "users")
+    rows = spark.createDataFrame([(1, 2, 3), (4, 5, 6)], "user_id int, products int, reviews int")
+    files.write_table(rows, path)
+    files.write_table(rows, path)
+    assert files.read_users(spark, path).count() == 2
+    files.write_table(rows, path, mode="append")
+    assert files.read_users(spark, path).count() == 4
+    with open(os.path.join(path, "more.csv"), "w") as more:
+        more.write("user_id,products,reviews\nabc,1,2\n,3,4\n")
+    read = files.read_users(spark, path)
+    assert read.dtypes == [("user_id", "int"), ("products", "int"), ("reviews", "int")]
+    assert read.filter("user_id IS NULL").count() == 2
+
+
+def test_json_keeps_arrays(spark, tmp_path):
+    path = str(tmp_path / "tags")
+    rows = spark.createDataFrame(
+        [(1, "d", ["a", "b,c"]), (2, None, []), (3, "e", None)],
+        "app_id int, description string, tags array<string>",
+    )
+    files.write_table(rows, path, "json")
+    read = {r.app_id: (r.description, r.tags) for r in files.read_item_tags(spark, path).collect()}
+    assert read == {1: ("d", ["a", "b,c"]), 2: (None, []), 3: ("e", None)}
+    with pytest.raises(ValueError):
+        files.write_table(rows, path, "xml")
+
+
+def test_shared_folder_is_new_and_under_the_checkpoint_folder(spark):
+    one, other = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one != other
+    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_vector_topk(spark):
+    vectors = spark.createDataFrame(
+        [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, [1.0, 1.0]), (4, [0.0, 0.0])],
+        "vec_id long, embedding array<float>",
+    )
+    nearest = vector_cosine_topk(vectors, 0, 3).collect()
+    assert [r.vec_id for r in nearest] == [1, 3, 2]
+    assert nearest[1].cosine_similarity == pytest.approx(0.5**0.5)
+    assert vector_cosine_topk(vectors, 9).collect() == []
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    rows = spark.range(900).select(F.when(F.col("id") < 300, 0).otherwise(F.col("id")).alias("k"))
+    hot = skew.hot_keys(rows, "k", Scale(hot_rows=1, hot_share=0.01))
+    assert [r.k for r in hot.collect()] == [0]
+    assert skew.hot_keys(rows, "k", Scale()) is None
+
+
+def test_measured_size(spark):
+    table = spark.createDataFrame([("x" * 1000,)] * 20, "v string")
+    assert 20_000 < skew.measured_bytes(table) < 30_000
+    assert skew.fits_broadcast(table, Scale())
+    assert not skew.fits_broadcast(table, Scale(broadcast_bytes=10_000))
+    assert not skew.fits_broadcast(table, Scale(broadcast_bytes=0))
+    assert skew.measured_bytes(table.limit(0)) == 0
+
+
+@pytest.mark.parametrize("hot", [None, [(1,)], [(1,), (2,)]])
+def test_salted_join_equals_join(spark, hot):
+    rows = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 0), (3, 0)], "k int, v int")
+    table = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "k int, name string")
+    hot = None if hot is None else spark.createDataFrame(hot, "k int")
+    joined = skew.join_salted(rows, table, "k", hot, ["v"], Scale(salts=5))
+    assert sorted(tuple(r) for r in joined.collect()) == sorted(
+        tuple(r) for r in rows.join(table, "k").collect()
+    )
