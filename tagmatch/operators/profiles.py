@@ -12,63 +12,132 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tagmatch.plans.skew import Scale, fits_broadcast, hot_keys, join_salted, split_hot
+from tagmatch.plans.skew import Scale, hot_keys, join_salted, text_bytes
 from tagmatch.sources.shared import stored
 
+# Copies of one (user, item) row that stay together in a large join.
 CHUNK = 100_000
 
+# Bytes of the numbers that go with a word when words are broadcast.
+WORD_ROW_BYTES = 48
+
 
 @dataclass(frozen=True)
 class Profiles:
-    """Rows (user_id, app_id, times, <catalog columns>) of all users.
-
-    ordinary: rows of ordinary users, hash-partitioned by user_id.
-    hot: rows of hot users, where they happen to be; None if there are none.
-    words_fit: one row per distinct word is known to fit in a broadcast.
+    """Liked rows and the catalog, in the layouts that the operators need.
+
+    details: (user_id, app_id, times, title, words), in no particular layout.
+    held: (user_id, app_id, times) of the same users, items not yet checked.
+    ordinary: (user_id, times, words) of ordinary users, hash-partitioned by user.
+    hot: the same columns of hot users, in no layout; None if there are none.
+    hot_users: (user_id) of hot users; None if there are none.
+    counts: (user_id, word, word_count); a stored table if words do not fit.
+    catalog: one row per item, marked for broadcast if it is small.
+    words_fit: one row per distinct word fits in a broadcast.
+    hot_words: words of very many users if words do not fit; None if there are none.
+    word_pages: pages that keep a list of distinct words bounded.
     """
 
+    details: DataFrame
+    held: DataFrame
     ordinary: DataFrame
     hot: DataFrame | None
+    hot_users: DataFrame | None
+    counts: DataFrame
+    catalog: DataFrame
     words_fit: bool
+    hot_words: DataFrame | None
+    word_pages: int
     scale: Scale
 
     def per_part(self, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Apply a step to both parts and put the results together."""
-        if self.hot is None:
-            return step(self.ordinary)
-        return step(self.ordinary).unionByName(step(self.hot))
+        return _per_part(self.ordinary, self.hot, step)
+
+
+def _per_part(
+    ordinary: DataFrame, hot: DataFrame | None, step: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Apply a step to the ordinary and the hot rows, put the results together."""
+    return step(ordinary) if hot is None else step(ordinary).unionByName(step(hot))
 
 
 def build_profiles(liked: DataFrame, catalog: DataFrame, scale: Scale = Scale()) -> Profiles:
     """Join liked rows with the catalog.
 
-    Runs three jobs: the catalog is stored, since it is read many times, and
-    measured, and hot users are looked for. A catalog that fits in a broadcast
-    bounds the number of distinct words too. A larger one is joined by salted item,
-    after equal (user, item) rows are counted together.
+    Runs a few jobs first: the catalog is stored, since it is read many times, and
+    measured, and hot users are looked for. A small catalog is broadcast to rows
+    that lie by user already. A large one is joined by salted item, after equal
+    (user, item) rows are counted together, and the result is laid out by user.
+    Word counts are counted anew wherever they are used, from one shuffle, unless
+    there are too many distinct words to broadcast; then they are stored too.
     """
     catalog = stored(catalog, "catalog")
-    if fits_broadcast(catalog, scale):
-        ordinary, hot = split_hot(liked, "user_id", scale)
+    small, words_fit, word_pages = _measure(catalog, scale)
+    hot_users, hot = hot_keys(liked, "user_id", scale), None
+    words = catalog.select("app_id", "words")
+
+    if small:
+        catalog, words = F.broadcast(catalog), F.broadcast(words)
+        liked = liked.withColumn("times", F.lit(1).cast("bigint"))
+        details = liked.join(catalog, "app_id")
+        held = ordinary = _by_user(_without(liked, hot_users))
+        ordinary = ordinary.join(words, "app_id").select("user_id", "times", "words")
+        if hot_users is not None:
+            hot = liked.join(F.broadcast(hot_users), "user_id", "left_semi")
+            held = held.unionByName(hot)
+            hot = hot.join(words, "app_id").select("user_id", "times", "words")
+    else:
+        held = _count_pairs(liked)
+        hot_items = hot_keys(liked, "app_id", scale)
+        spread_on = ["user_id", "chunk"]
+        details = join_salted(held, catalog, "app_id", hot_items, spread_on, scale)
+        rows = details.select("user_id", "times", "words")
+        ordinary = _by_user(_without(rows, hot_users))
+        if hot_users is not None:
+            hot = rows.join(F.broadcast(hot_users), "user_id", "left_semi")
+
+    counts, hot_words = _per_part(ordinary, hot, count_words), None
+    if not words_fit:
+        counts = stored(counts, "counts")
+        hot_words = hot_keys(counts, "word", scale)
+    return Profiles(
+        details.select("user_id", "app_id", "times", "title", "words"),
+        held.select("user_id", "app_id", "times"),
+        ordinary,
+        hot,
+        hot_users,
+        counts,
+        catalog,
+        words_fit,
+        hot_words,
+        word_pages,
+        scale,
+    )
+
 
-        def attach(rows: DataFrame) -> DataFrame:
-            rows = rows.withColumn("times", F.lit(1).cast("bigint"))
-            return rows.join(F.broadcast(catalog), "app_id")
+def _measure(catalog: DataFrame, scale: Scale) -> tuple[bool, bool, int]:
+    """Whether the catalog fits in a broadcast, whether its distinct words do, and
+    the pages they fill. Of a small catalog, all words are taken for distinct."""
+    words = F.coalesce(F.sum(F.size("words")), F.lit(0))
+    size = catalog.agg(text_bytes().alias("bytes"), words.alias("words")).first()
+    small = size["bytes"] <= scale.broadcast_bytes
+    if not _words_fit(size, scale):
+        distinct = catalog.select(F.explode("words").alias("word")).distinct()
+        size = distinct.agg(text_bytes().alias("bytes"), F.count("word").alias("words")).first()
+    return small, _words_fit(size, scale), 1 + size["words"] // scale.page_words
 
-        hot = None if hot is None else attach(hot)
-        return Profiles(attach(_by_user(ordinary)), hot, True, scale)
 
-    distinct_words = catalog.select(F.explode("words").alias("word")).distinct()
-    words_fit = fits_broadcast(distinct_words, scale)
-    pairs = _count_pairs(liked)
-    joined = join_salted(
-        pairs, catalog, "app_id", hot_keys(pairs, "app_id", scale), ["user_id", "chunk"], scale
-    ).drop("chunk")
-    ordinary, hot = split_hot(joined, "user_id", scale)
-    return Profiles(_by_user(ordinary), hot, words_fit, scale)
+def _words_fit(size: Row, scale: Scale) -> bool:
+    return size["bytes"] + size["words"] * WORD_ROW_BYTES <= scale.broadcast_bytes
+
+
+def _without(rows: DataFrame, hot_users: DataFrame | None) -> DataFrame:
+    if hot_users is None:
+        return rows
+    return rows.join(F.broadcast(hot_users), "user_id", "left_anti")
 
 
 def _by_user(rows: DataFrame) -> DataFrame:
@@ -94,25 +163,27 @@ def _count_pairs(liked: DataFrame) -> DataFrame:
     )
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``times`` says."""
+    copies = F.explode(F.sequence(F.lit(1), F.col("times")))
+    return rows.withColumn("copy", copies).drop("copy", "times")
+
+
 def user_item_details(profiles: Profiles) -> DataFrame:
     """(user_id, app_id, title, words), one row per liked row whose item counts."""
+    return _repeated(profiles.details)
 
-    def repeat(rows: DataFrame) -> DataFrame:
-        copies = F.explode(F.sequence(F.lit(1), F.col("times")))
-        return rows.select("user_id", "app_id", "title", "words", copies.alias("copy")).drop("copy")
 
-    return profiles.per_part(repeat)
+def tagged_interactions(profiles: Profiles) -> DataFrame:
+    """(user_id, app_id, words) of liked rows whose item has tags, titled or not.
+    For profiles built on a catalog of scope "tagged"."""
+    return _repeated(profiles.details.select("user_id", "app_id", "times", "words"))
 
 
 def user_terms(profiles: Profiles) -> DataFrame:
     """(user_id, word), one row per word of each liked row."""
-
-    def explode(rows: DataFrame) -> DataFrame:
-        copies = F.explode(F.sequence(F.lit(1), F.col("times")))
-        words = rows.select("user_id", "times", F.explode("words").alias("word"))
-        return words.select("user_id", "word", copies.alias("copy")).drop("copy")
-
-    return profiles.per_part(explode)
+    words = profiles.details.select("user_id", "times", F.explode("words").alias("word"))
+    return _repeated(words)
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -122,11 +193,14 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 def user_term_counts(profiles: Profiles) -> DataFrame:
-    return profiles.per_part(count_words)
+    return profiles.counts
 
 
 def user_term_totals(profiles: Profiles) -> DataFrame:
     """(user_id, total_word_count)."""
+    if not profiles.words_fit:
+        total = F.sum("word_count").alias("total_word_count")
+        return profiles.counts.groupBy("user_id").agg(total)
     words = F.sum(F.col("times") * F.size("words"))
     return profiles.per_part(
         lambda rows: rows.groupBy("user_id").agg(words.alias("total_word_count"))
@@ -134,22 +208,21 @@ def user_term_totals(profiles: Profiles) -> DataFrame:
 
 
 def user_count(profiles: Profiles) -> DataFrame:
-    """One row: the number of users with at least one word. Every item of the
-    catalog has a word, so a user with a row has one."""
-    users = profiles.per_part(
-        lambda rows: rows.select("user_id").distinct().agg(F.count(F.lit(1)).alias("part_users"))
-    )
-    return users.agg(F.sum("part_users").alias("user_count"))
+    """One row: the number of users with at least one word."""
+    # Every user here has words. Testing the total keeps the same columns in the
+    # plan as counting words does, so that both read one shuffle.
+    users = F.count_if(F.col("total_word_count") > 0)
+    return user_term_totals(profiles).agg(users.alias("user_count"))
 
 
 def user_tag_profile(profiles: Profiles) -> DataFrame:
     """Words of each user in order, in pages.
 
     A page holds each word once, and ``word_counts`` tells how often the user has
-    it. While the distinct words are known to fit in a broadcast there is one page
-    per user. Otherwise words are dealt to ``scale.salts`` pages by hash.
+    it. With few distinct words there is one page per user; more words are dealt to
+    more pages by hash, so that an array stays bounded.
     """
-    pages = 1 if profiles.words_fit else profiles.scale.salts
+    pages = profiles.word_pages
     page = F.pmod(F.xxhash64("word"), F.lit(pages)) if pages > 1 else F.lit(0).cast("bigint")
     held = F.sort_array(F.collect_list(F.struct("word", "word_count")))
 
@@ -167,9 +240,3 @@ def user_tag_profile(profiles: Profiles) -> DataFrame:
         )
 
     return profiles.per_part(fold)
-
-
-def tagged_interactions(profiles: Profiles) -> DataFrame:
-    """(user_id, app_id, words) of liked rows whose item has tags, titled or not.
-    For profiles built on a catalog of scope "tagged"."""
-    return user_item_details(profiles).select("user_id", "app_id", "words")

@@ -86,6 +86,6 @@ def build_subset(
     app_ids = distinct_items(kept)
     return Subset(
         kept,
-        items.join(app_ids, "app_id", "left_semi").select(items.columns),
-        item_tags.join(app_ids, "app_id", "left_semi").select(item_tags.columns),
+        subset_by_keys(items, app_ids, "app_id", None, scale),
+        subset_by_keys(item_tags, app_ids, "app_id", None, scale),
     )

@@ -6,28 +6,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmatch.functions.weighting import idf as idf_of
-from tagmatch.operators.profiles import Profiles, count_words, user_count, user_term_counts
+from tagmatch.operators.profiles import (
+    Profiles,
+    count_words,
+    user_count,
+    user_term_counts,
+    user_term_totals,
+)
 from tagmatch.plans.skew import join_salted
 
 
 def term_frequency(profiles: Profiles) -> DataFrame:
     """(user_id, word, word_count, total_word_count, tf), tf relative to all words
     of the user."""
+    if profiles.words_fit:
+        counts = _counts_with_totals(profiles)
+    else:
+        counts = join_salted(
+            profiles.counts,
+            user_term_totals(profiles),
+            "user_id",
+            profiles.hot_users,
+            ["word"],
+            profiles.scale,
+        )
     tf = F.col("word_count") / F.col("total_word_count")
-    total = F.sum("word_count")
+    return counts.select("user_id", "word", "word_count", "total_word_count", tf.alias("tf"))
+
 
-    # An ordinary user's counts already share a partition, so the window adds no
-    # shuffle. Hot users are few, so their totals are broadcast.
+def _counts_with_totals(profiles: Profiles) -> DataFrame:
+    """An ordinary user's counts already share a partition, so the window adds no
+    shuffle. Hot users are few, so their totals are broadcast."""
+    total = F.sum("word_count")
     counts = count_words(profiles.ordinary).withColumn(
         "total_word_count", total.over(Window.partitionBy("user_id"))
     )
-    if profiles.hot is not None:
-        hot = count_words(profiles.hot)
-        hot_totals = hot.groupBy("user_id").agg(total.alias("total_word_count"))
-        counts = counts.unionByName(hot.join(F.broadcast(hot_totals), "user_id"))
-    return counts.select(
-        "user_id", "word", "word_count", "total_word_count", tf.alias("tf")
-    )
+    if profiles.hot is None:
+        return counts
+    hot = count_words(profiles.hot)
+    hot_totals = hot.groupBy("user_id").agg(total.alias("total_word_count"))
+    return counts.unionByName(hot.join(F.broadcast(hot_totals), "user_id"))
 
 
 def document_frequency(profiles: Profiles) -> DataFrame:
@@ -49,13 +67,10 @@ def with_idf(words: DataFrame, profiles: Profiles, kind: str) -> DataFrame:
 
 
 def join_words(counts: DataFrame, words: DataFrame, profiles: Profiles) -> DataFrame:
-    """Join (user_id, word, ...) rows with one row per word. ``words`` has
-    user_count, which is the number of rows each word meets."""
+    """Join (user_id, word, ...) rows with one row per word."""
     if profiles.words_fit:
         return counts.join(F.broadcast(words), "word")
-    all_rows = words.agg(F.sum("user_count")).scalar()
-    hot = words.filter(profiles.scale.is_hot(F.col("user_count"), all_rows))
-    return join_salted(counts, words, "word", hot, ["user_id"], profiles.scale)
+    return join_salted(counts, words, "word", profiles.hot_words, ["user_id"], profiles.scale)
 
 
 def tfidf(profiles: Profiles, kind: str = "plain") -> DataFrame:

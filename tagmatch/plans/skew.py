@@ -25,6 +25,7 @@ class Scale:
         row count keeps small inputs from being split for nothing.
     salts: pieces a hot key is split into.
     page_ids: item ids per page of a user's item list.
+    page_words: distinct words per page of a user's tag profile, on average.
     """
 
     broadcast_bytes: int = 32 * 1024 * 1024
@@ -32,51 +33,34 @@ class Scale:
     hot_rows: int = 1_000_000
     salts: int = 64
     page_ids: int = 1_000_000
+    page_words: int = 1_000_000
 
     def is_hot(self, rows: Column, all_rows: Column) -> Column:
         share = all_rows.cast("double") * F.lit(self.hot_share)
         return rows > F.greatest(F.lit(float(self.hot_rows)), share)
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """Size of a table as text. Runs one job that returns one number."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    return table.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def fits_broadcast(table: DataFrame, scale: Scale) -> bool:
-    """Whether the table is small enough to broadcast, by measuring it."""
-    if scale.broadcast_bytes <= 0:
-        return False
-    return measured_bytes(table) <= scale.broadcast_bytes
+def text_bytes() -> Column:
+    """Aggregate: size of all rows written as text."""
+    return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
 
 
 def hot_keys(rows: DataFrame, key: str, scale: Scale) -> DataFrame | None:
     """Keys that hold more than their share of the rows, None if there are none.
 
-    Runs one job. The list comes to the driver, which is safe because it has at
-    most 1 / hot_share entries; in return, plans without hot keys stay as simple
-    as if there were no rule for them.
+    Runs one job that returns two numbers. Only if some key is hot, a second one
+    lists the hot keys on the driver, which is safe because there are at most
+    1 / hot_share. Plans without hot keys thus stay as simple as without the rule.
     """
     per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
-    all_rows = per_key.agg(F.sum("key_rows")).scalar()
-    found = per_key.filter(scale.is_hot(F.col("key_rows"), all_rows)).select(key).collect()
-    if not found:
+    seen = per_key.agg(F.sum("key_rows").alias("all"), F.max("key_rows").alias("most")).first()
+    limit = max(scale.hot_rows, scale.hot_share * (seen["all"] or 0))
+    if (seen["most"] or 0) <= limit:
         return None
+    found = per_key.filter(F.col("key_rows") > limit).select(key).collect()
     return rows.sparkSession.createDataFrame(found, rows.select(key).schema)
 
 
-def split_hot(
-    rows: DataFrame, key: str, scale: Scale
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of hot keys if there are any."""
-    hot = hot_keys(rows, key, scale)
-    if hot is None:
-        return rows, None
-    hot = F.broadcast(hot)
-    return rows.join(hot, key, "left_anti"), rows.join(hot, key, "left_semi")
-
-
 def join_salted(
     rows: DataFrame,
     table: DataFrame,

@@ -1,0 +1,52 @@
+"""The whole recommendation in plain Python, for small inputs."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter, defaultdict
+
+
+def words_of(tags):
+    normal = [re.sub(r"\s+", " ", tag).strip(" ").lower() for tag in tags if tag is not None]
+    return ",".join(normal).split(",")
+
+
+def similarities(liked, item_words, target, idf="plain", zero="keep"):
+    """{user: cosine} from (user, item) rows and {item: words}."""
+    counts = defaultdict(Counter)
+    for user, item in liked:
+        if item in item_words:
+            counts[user].update(item_words[item])
+    if target not in counts:
+        return {}
+    n = len(counts)
+    df = Counter(word for words in counts.values() for word in words)
+    weight = {
+        w: math.log(n / d) if idf == "plain" else math.log((n + 1) / (d + 1)) for w, d in df.items()
+    }
+    vectors = {u: {w: c * weight[w] for w, c in words.items()} for u, words in counts.items()}
+    norms = {u: math.sqrt(sum(x * x for x in v.values())) for u, v in vectors.items()}
+    found = {}
+    for user, vector in vectors.items():
+        if user == target:
+            continue
+        scale = norms[user] * norms[target]
+        dot = sum(x * vectors[target].get(w, 0.0) for w, x in vector.items())
+        found[user] = dot / scale if scale else 0.0
+    return found if zero == "keep" else {u: s for u, s in found.items() if s > 0}
+
+
+def nearest(found, k=3):
+    return sorted(found, key=lambda user: (-round(found[user], 12), user))[:k]
+
+
+def recommended(liked, item_words, titles, neighbours, target):
+    """{(item, title): sorted users, once per row}."""
+    liked = [(user, item) for user, item in liked if item in item_words]
+    owned = {item for user, item in liked if user == target}
+    result = defaultdict(list)
+    for user, item in liked:
+        if user in neighbours and item not in owned and item in titles:
+            result[item, titles[item]].append(user)
+    return {key: sorted(users) for key, users in result.items()}

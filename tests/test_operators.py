@@ -207,13 +207,10 @@ def test_hot_keys_are_bounded_by_their_share(spark):
     assert skew.hot_keys(rows, "k", Scale()) is None
 
 
-def test_measured_size(spark):
+def test_text_bytes(spark):
     table = spark.createDataFrame([("x" * 1000,)] * 20, "v string")
-    assert 20_000 < skew.measured_bytes(table) < 30_000
-    assert skew.fits_broadcast(table, Scale())
-    assert not skew.fits_broadcast(table, Scale(broadcast_bytes=10_000))
-    assert not skew.fits_broadcast(table, Scale(broadcast_bytes=0))
-    assert skew.measured_bytes(table.limit(0)) == 0
+    assert 20_000 < table.agg(skew.text_bytes()).first()[0] < 21_000
+    assert table.limit(0).agg(skew.text_bytes()).first()[0] == 0
 
 
 @pytest.mark.parametrize("hot", [None, [(1,)], [(1,), (2,)]])
