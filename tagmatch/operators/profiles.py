@@ -10,7 +10,7 @@ the counts are shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,97 +25,106 @@ CHUNK = 100_000
 WORD_ROW_BYTES = 48
 
 
-@dataclass(frozen=True)
 class Profiles:
     """Liked rows and the catalog, in the layouts that the operators need.
 
-    details: (user_id, app_id, times, title, words), in no particular layout.
-    held: (user_id, app_id, times) of the same users, items not yet checked.
-    ordinary: (user_id, times, words) of ordinary users, hash-partitioned by user.
-    hot: the same columns of hot users, in no layout; None if there are none.
-    hot_users: (user_id) of hot users; None if there are none.
-    counts: (user_id, word, word_count); a stored table if words do not fit.
+    Making one stores the catalog, since it is read many times, and measures it. A
+    small catalog is broadcast to rows that lie by user already. A large one is
+    joined by salted item, after equal (user, item) rows are counted together, and
+    the result is laid out by user. Each layout is planned when first asked for;
+    the search for hot keys is then a job of its own.
+
     catalog: one row per item, marked for broadcast if it is small.
     words_fit: one row per distinct word fits in a broadcast.
-    hot_words: words of very many users if words do not fit; None if there are none.
     word_pages: pages that keep a list of distinct words bounded.
     """
 
-    details: DataFrame
-    held: DataFrame
-    ordinary: DataFrame
-    hot: DataFrame | None
-    hot_users: DataFrame | None
-    counts: DataFrame
-    catalog: DataFrame
-    words_fit: bool
-    hot_words: DataFrame | None
-    word_pages: int
-    scale: Scale
+    def __init__(self, liked: DataFrame, catalog: DataFrame, scale: Scale = Scale()) -> None:
+        self.scale = scale
+        self._liked = liked
+        catalog = stored(catalog, "catalog")
+        self.small, self.words_fit, self.word_pages = _measure(catalog, scale)
+        self.catalog = F.broadcast(catalog) if self.small else catalog
+        self._item_words = catalog.select("app_id", "words")
+        if self.small:
+            self._rows = liked.withColumn("times", F.lit(1).cast("bigint"))
+        else:
+            self._rows = _count_pairs(liked)
+
+    @cached_property
+    def details(self) -> DataFrame:
+        """(user_id, app_id, times, title, words), in no particular layout."""
+        if self.small:
+            joined = self._rows.join(self.catalog, "app_id")
+        else:
+            hot_items = hot_keys(self._liked, "app_id", self.scale)
+            joined = join_salted(
+                self._rows, self.catalog, "app_id", hot_items, ["user_id", "chunk"], self.scale
+            )
+        return joined.select("user_id", "app_id", "times", "title", "words")
+
+    @cached_property
+    def hot_users(self) -> DataFrame | None:
+        """(user_id) of hot users; None if there are none."""
+        return hot_keys(self._liked, "user_id", self.scale)
+
+    @cached_property
+    def held(self) -> DataFrame:
+        """(user_id, app_id, times), items not yet checked against the catalog. Of a
+        small catalog, these are the shuffled rows that words are counted from."""
+        if not self.small:
+            return self._rows.select("user_id", "app_id", "times")
+        by_user = _by_user(self._ordinary_of(self._rows))
+        hot = self._hot_of(self._rows)
+        return by_user if hot is None else by_user.unionByName(hot)
+
+    @cached_property
+    def ordinary(self) -> DataFrame:
+        """(user_id, times, words) of ordinary users, hash-partitioned by user."""
+        if self.small:
+            return self._with_words(_by_user(self._ordinary_of(self._rows)))
+        return _by_user(self._ordinary_of(self.details.select("user_id", "times", "words")))
+
+    @cached_property
+    def hot(self) -> DataFrame | None:
+        """The same columns of hot users, in no layout; None if there are none."""
+        if self.hot_users is None:
+            return None
+        if self.small:
+            return self._with_words(self._hot_of(self._rows))
+        return self._hot_of(self.details.select("user_id", "times", "words"))
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """(user_id, word, word_count). Counted anew wherever it is used, from one
+        shuffle, unless there are too many words to broadcast; then it is stored."""
+        counts = self.per_part(count_words)
+        return counts if self.words_fit else stored(counts, "counts")
+
+    @cached_property
+    def hot_words(self) -> DataFrame | None:
+        """(word) of very many users if words do not fit; None if there are none."""
+        return None if self.words_fit else hot_keys(self.counts, "word", self.scale)
 
     def per_part(self, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        return _per_part(self.ordinary, self.hot, step)
-
-
-def _per_part(
-    ordinary: DataFrame, hot: DataFrame | None, step: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Apply a step to the ordinary and the hot rows, put the results together."""
-    return step(ordinary) if hot is None else step(ordinary).unionByName(step(hot))
+        """Apply a step to the ordinary and the hot rows, put the results together."""
+        if self.hot is None:
+            return step(self.ordinary)
+        return step(self.ordinary).unionByName(step(self.hot))
 
+    def _ordinary_of(self, rows: DataFrame) -> DataFrame:
+        if self.hot_users is None:
+            return rows
+        return rows.join(F.broadcast(self.hot_users), "user_id", "left_anti")
 
-def build_profiles(liked: DataFrame, catalog: DataFrame, scale: Scale = Scale()) -> Profiles:
-    """Join liked rows with the catalog.
+    def _hot_of(self, rows: DataFrame) -> DataFrame | None:
+        if self.hot_users is None:
+            return None
+        return rows.join(F.broadcast(self.hot_users), "user_id", "left_semi")
 
-    Runs a few jobs first: the catalog is stored, since it is read many times, and
-    measured, and hot users are looked for. A small catalog is broadcast to rows
-    that lie by user already. A large one is joined by salted item, after equal
-    (user, item) rows are counted together, and the result is laid out by user.
-    Word counts are counted anew wherever they are used, from one shuffle, unless
-    there are too many distinct words to broadcast; then they are stored too.
-    """
-    catalog = stored(catalog, "catalog")
-    small, words_fit, word_pages = _measure(catalog, scale)
-    hot_users, hot = hot_keys(liked, "user_id", scale), None
-    words = catalog.select("app_id", "words")
-
-    if small:
-        catalog, words = F.broadcast(catalog), F.broadcast(words)
-        liked = liked.withColumn("times", F.lit(1).cast("bigint"))
-        details = liked.join(catalog, "app_id")
-        held = ordinary = _by_user(_without(liked, hot_users))
-        ordinary = ordinary.join(words, "app_id").select("user_id", "times", "words")
-        if hot_users is not None:
-            hot = liked.join(F.broadcast(hot_users), "user_id", "left_semi")
-            held = held.unionByName(hot)
-            hot = hot.join(words, "app_id").select("user_id", "times", "words")
-    else:
-        held = _count_pairs(liked)
-        hot_items = hot_keys(liked, "app_id", scale)
-        spread_on = ["user_id", "chunk"]
-        details = join_salted(held, catalog, "app_id", hot_items, spread_on, scale)
-        rows = details.select("user_id", "times", "words")
-        ordinary = _by_user(_without(rows, hot_users))
-        if hot_users is not None:
-            hot = rows.join(F.broadcast(hot_users), "user_id", "left_semi")
-
-    counts, hot_words = _per_part(ordinary, hot, count_words), None
-    if not words_fit:
-        counts = stored(counts, "counts")
-        hot_words = hot_keys(counts, "word", scale)
-    return Profiles(
-        details.select("user_id", "app_id", "times", "title", "words"),
-        held.select("user_id", "app_id", "times"),
-        ordinary,
-        hot,
-        hot_users,
-        counts,
-        catalog,
-        words_fit,
-        hot_words,
-        word_pages,
-        scale,
-    )
+    def _with_words(self, rows: DataFrame) -> DataFrame:
+        joined = rows.join(F.broadcast(self._item_words), "app_id")
+        return joined.select("user_id", "times", "words")
 
 
 def _measure(catalog: DataFrame, scale: Scale) -> tuple[bool, bool, int]:
@@ -134,12 +143,6 @@ def _words_fit(size: Row, scale: Scale) -> bool:
     return size["bytes"] + size["words"] * WORD_ROW_BYTES <= scale.broadcast_bytes
 
 
-def _without(rows: DataFrame, hot_users: DataFrame | None) -> DataFrame:
-    if hot_users is None:
-        return rows
-    return rows.join(F.broadcast(hot_users), "user_id", "left_anti")
-
-
 def _by_user(rows: DataFrame) -> DataFrame:
     """One shuffle by user. The number of partitions is given, so that they are not
     merged at run time by the size of these rows: they grow many times over when

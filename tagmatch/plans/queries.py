@@ -55,11 +55,11 @@ def _liked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profiles(spark: SparkSession, sf_dir: str, scope: str = "titled") -> prof.Profiles:
-    return prof.build_profiles(_liked(spark, sf_dir), _catalog(spark, sf_dir, scope))
+    return prof.Profiles(_liked(spark, sf_dir), _catalog(spark, sf_dir, scope))
 
 
 def _hashed_profiles(spark: SparkSession, sf_dir: str) -> prof.Profiles:
-    return prof.build_profiles(_liked(spark, sf_dir), cat.hash_catalog(_catalog(spark, sf_dir)))
+    return prof.Profiles(_liked(spark, sf_dir), cat.hash_catalog(_catalog(spark, sf_dir)))
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tagmatch.operators.catalog import hash_catalog, item_catalog
 from tagmatch.operators.interactions import positive_interactions
-from tagmatch.operators.profiles import build_profiles
+from tagmatch.operators.profiles import Profiles
 from tagmatch.operators.recommend import recommend_items
 from tagmatch.operators.similarity import cosine_similarity, most_similar
 from tagmatch.plans.skew import Scale
@@ -39,7 +39,7 @@ def recommend(
         catalog = hash_catalog(catalog)
     elif terms != "exact":
         raise ValueError(f"terms must be 'exact' or 'hashed', not {terms!r}")
-    profiles = build_profiles(positive_interactions(interactions), catalog, scale)
+    profiles = Profiles(positive_interactions(interactions), catalog, scale)
     similarities = cosine_similarity(profiles, target_user, idf, zero)
     return recommend_items(profiles, most_similar(similarities, k), target_user, users)
 

@@ -53,8 +53,9 @@ def test_nearest_users_are_not_sorted_as_a_whole(spark):
     assert "rangepartitioning" not in plan
 
 
-@pytest.mark.parametrize("partitions", ["1", "7", "40"])
-@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize(
+    ("partitions", "adaptive"), [("1", "true"), ("7", "false"), ("40", "true")]
+)
 def test_results_do_not_depend_on_partitions(spark, partitions, adaptive):
     kept = {key: spark.conf.get(key) for key in (
         "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
@@ -80,11 +81,11 @@ def test_known_neighbours(spark, sf, target, expected):
 
     from tagmatch.operators.catalog import item_catalog
     from tagmatch.operators.interactions import positive_interactions
-    from tagmatch.operators.profiles import build_profiles
+    from tagmatch.operators.profiles import Profiles
     from tagmatch.operators.similarity import cosine_similarity, most_similar
 
     sf_dir = f"{TESTDATA}/sf{sf}"
-    profiles = build_profiles(
+    profiles = Profiles(
         positive_interactions(testdata.interactions(spark, sf_dir)),
         item_catalog(testdata.items(spark, sf_dir), testdata.item_tags(spark, sf_dir)),
     )

@@ -8,7 +8,7 @@ from tagmatch import Scale, recommend
 from tagmatch.operators.catalog import item_catalog
 from tagmatch.operators.interactions import positive_interactions
 from tagmatch.operators.profiles import (
-    build_profiles,
+    Profiles,
     user_count,
     user_item_details,
     user_tag_profile,
@@ -20,7 +20,6 @@ from tests import brute_force
 
 TARGET = 7
 WAYS = {
-    "default": Scale(),
     "hot users": Scale(hot_rows=300, salts=4),
     "large tables": Scale(broadcast_bytes=0),
     "large tables, hot keys": Scale(broadcast_bytes=0, hot_rows=300, salts=4, page_words=10),
@@ -75,7 +74,7 @@ def item_words(rows, scope):
 @pytest.fixture(scope="module")
 def profiles(tables, scale):
     interactions, items, item_tags = tables
-    return build_profiles(
+    return Profiles(
         positive_interactions(interactions), item_catalog(items, item_tags, "tagged"), scale
     )
 
@@ -111,8 +110,7 @@ def test_similarity(profiles, rows, idf):
     assert found == {user: pytest.approx(s, abs=1e-12) for user, s in expected.items()}
 
 
-@pytest.mark.parametrize("target", [TARGET, 3])
-@pytest.mark.parametrize("scope", ["titled", "tagged"])
+@pytest.mark.parametrize(("scope", "target"), [("titled", TARGET), ("tagged", 3)])
 def test_recommendation(tables, rows, scale, scope, target):
     words = item_words(rows, scope)
     near = brute_force.nearest(brute_force.similarities(rows[0], words, target), 5)

@@ -8,7 +8,7 @@ from tagmatch import Scale, recommend, recommend_hashed, recommend_tagged, recom
 from tagmatch.operators.catalog import hash_catalog, item_catalog
 from tagmatch.operators.interactions import positive_interactions
 from tagmatch.operators.profiles import (
-    build_profiles,
+    Profiles,
     user_count,
     user_item_details,
     user_tag_profile,
@@ -45,7 +45,7 @@ def profiles(spark, scale, scope="titled", hashed=False):
     interactions, items, item_tags = worked.tables(spark)
     catalog = item_catalog(items, item_tags, scope)
     catalog = hash_catalog(catalog) if hashed else catalog
-    return build_profiles(positive_interactions(interactions), catalog, scale)
+    return Profiles(positive_interactions(interactions), catalog, scale)
 
 
 def as_dict(df):
@@ -182,7 +182,7 @@ def test_target_of_common_words_only(spark):
     )
     items = spark.createDataFrame([(1, "A"), (2, "B")], "app_id int, title string")
     tags = spark.createDataFrame([(1, ["x"]), (2, ["y"])], "app_id int, tags array<string>")
-    p = build_profiles(positive_interactions(interactions), item_catalog(items, tags))
+    p = Profiles(positive_interactions(interactions), item_catalog(items, tags))
     assert as_dict(cosine_similarity(p, 1)) == {2: 0.0}
     assert as_dict(cosine_similarity(p, 1, zero="drop")) == {}
 
