@@ -54,13 +54,7 @@ class Profiles:
     @cached_property
     def details(self) -> DataFrame:
         """(user_id, app_id, times, title, words), in no particular layout."""
-        if self.small:
-            joined = self._rows.join(self.catalog, "app_id")
-        else:
-            hot_items = hot_keys(self._liked, "app_id", self.scale)
-            joined = join_salted(
-                self._rows, self.catalog, "app_id", hot_items, ["user_id", "chunk"], self.scale
-            )
+        joined = self._with_items(self._rows, self.catalog)
         return joined.select("user_id", "app_id", "times", "title", "words")
 
     @cached_property
@@ -80,10 +74,11 @@ class Profiles:
 
     @cached_property
     def ordinary(self) -> DataFrame:
-        """(user_id, times, words) of ordinary users, hash-partitioned by user."""
+        """(user_id, times, words) of ordinary users, hash-partitioned by user. The
+        words are numbers if there is a table of ``word_numbers``."""
         if self.small:
             return self._with_words(_by_user(self._ordinary_of(self._rows)))
-        return _by_user(self._ordinary_of(self.details.select("user_id", "times", "words")))
+        return _by_user(self._ordinary_of(self._with_words(self._rows)))
 
     @cached_property
     def hot(self) -> DataFrame | None:
@@ -92,13 +87,13 @@ class Profiles:
             return None
         if self.small:
             return self._with_words(self._hot_of(self._rows))
-        return self._hot_of(self.details.select("user_id", "times", "words"))
+        return self._hot_of(self._with_words(self._rows))
 
     @cached_property
     def counts(self) -> DataFrame:
         """(user_id, word, word_count). Counted anew wherever it is used, from one
         shuffle, unless there are too many words to broadcast; then it is stored."""
-        counts = self.per_part(count_words)
+        counts = self.per_part(self.count_words)
         return counts if self.words_fit else stored(counts, "counts")
 
     @cached_property
@@ -106,6 +101,45 @@ class Profiles:
         """(word) of very many users if words do not fit; None if there are none."""
         return None if self.words_fit else hot_keys(self.counts, "word", self.scale)
 
+    @cached_property
+    def word_numbers(self) -> DataFrame | None:
+        """(word, number), where a large catalog has few distinct words, else None.
+
+        Rows with the words of a large catalog are shuffled by user. Numbers make
+        them several times smaller than words would.
+        """
+        is_text = self._item_words.selectExpr("words[0]").dtypes[0][1] == "string"
+        if self.small or not self.words_fit or not is_text:
+            return None
+        words = self._item_words.select(F.explode("words").alias("word")).distinct()
+        # The words are known to fit in a broadcast, so one task can number them.
+        number = F.monotonically_increasing_id().cast("int").alias("number")
+        return stored(words.repartition(1).select("word", number), "words")
+
+    @cached_property
+    def _counted_words(self) -> DataFrame:
+        """(app_id, words) as they are counted, numbers if there are any."""
+        if self.word_numbers is None:
+            return F.broadcast(self._item_words) if self.small else self._item_words
+        words = self._item_words.select("app_id", F.explode("words").alias("word"))
+        numbered = words.join(F.broadcast(self.word_numbers), "word").groupBy("app_id")
+        return stored(numbered.agg(F.collect_list("number").alias("words")), "item-words")
+
+    @cached_property
+    def _hot_items(self) -> DataFrame | None:
+        return hot_keys(self._liked, "app_id", self.scale)
+
+    def count_words(self, rows: DataFrame) -> DataFrame:
+        """(user_id, word, word_count) of one part."""
+        words = rows.select("user_id", "times", F.explode("words").alias("word"))
+        counts = words.groupBy("user_id", "word").agg(F.sum("times").alias("word_count"))
+        if self.word_numbers is None:
+            return counts
+        named = counts.withColumnRenamed("word", "number").join(
+            F.broadcast(self.word_numbers), "number"
+        )
+        return named.select("user_id", "word", "word_count")
+
     def per_part(self, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Apply a step to the ordinary and the hot rows, put the results together."""
         if self.hot is None:
@@ -122,9 +156,14 @@ class Profiles:
             return None
         return rows.join(F.broadcast(self.hot_users), "user_id", "left_semi")
 
+    def _with_items(self, rows: DataFrame, items: DataFrame) -> DataFrame:
+        if self.small:
+            return rows.join(items, "app_id")
+        spread_on = ["user_id", "chunk"]
+        return join_salted(rows, items, "app_id", self._hot_items, spread_on, self.scale)
+
     def _with_words(self, rows: DataFrame) -> DataFrame:
-        joined = rows.join(F.broadcast(self._item_words), "app_id")
-        return joined.select("user_id", "times", "words")
+        return self._with_items(rows, self._counted_words).select("user_id", "times", "words")
 
 
 def _measure(catalog: DataFrame, scale: Scale) -> tuple[bool, bool, int]:
@@ -189,12 +228,6 @@ def user_terms(profiles: Profiles) -> DataFrame:
     return _repeated(words)
 
 
-def count_words(rows: DataFrame) -> DataFrame:
-    """(user_id, word, word_count) of one part."""
-    words = rows.select("user_id", "times", F.explode("words").alias("word"))
-    return words.groupBy("user_id", "word").agg(F.sum("times").alias("word_count"))
-
-
 def user_term_counts(profiles: Profiles) -> DataFrame:
     return profiles.counts
 
@@ -231,7 +264,7 @@ def user_tag_profile(profiles: Profiles) -> DataFrame:
 
     def fold(rows: DataFrame) -> DataFrame:
         return (
-            count_words(rows)
+            profiles.count_words(rows)
             .groupBy("user_id", page.alias("page"))
             .agg(held.alias("held"))
             .select(

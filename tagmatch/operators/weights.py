@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tagmatch.functions.weighting import idf as idf_of
 from tagmatch.operators.profiles import (
     Profiles,
-    count_words,
     user_count,
     user_term_counts,
     user_term_totals,
@@ -38,12 +37,12 @@ def _counts_with_totals(profiles: Profiles) -> DataFrame:
     """An ordinary user's counts already share a partition, so the window adds no
     shuffle. Hot users are few, so their totals are broadcast."""
     total = F.sum("word_count")
-    counts = count_words(profiles.ordinary).withColumn(
+    counts = profiles.count_words(profiles.ordinary).withColumn(
         "total_word_count", total.over(Window.partitionBy("user_id"))
     )
     if profiles.hot is None:
         return counts
-    hot = count_words(profiles.hot)
+    hot = profiles.count_words(profiles.hot)
     hot_totals = hot.groupBy("user_id").agg(total.alias("total_word_count"))
     return counts.unionByName(hot.join(F.broadcast(hot_totals), "user_id"))
 

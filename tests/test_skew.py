@@ -21,8 +21,16 @@ from tests import brute_force
 TARGET = 7
 WAYS = {
     "hot users": Scale(hot_rows=300, salts=4),
-    "large tables": Scale(broadcast_bytes=0),
-    "large tables, hot keys": Scale(broadcast_bytes=0, hot_rows=300, salts=4, page_words=10),
+    "large catalog": Scale(broadcast_bytes=4000),
+    "large catalog, hot keys": Scale(broadcast_bytes=4000, hot_rows=300, salts=4),
+    "many words, hot keys": Scale(broadcast_bytes=0, hot_rows=35, salts=4, page_words=10),
+}
+# Whether the catalog is broadcast, words are numbered, and there are hot users.
+TAKEN = {
+    "hot users": (True, False, True),
+    "large catalog": (False, True, False),
+    "large catalog, hot keys": (False, True, True),
+    "many words, hot keys": (False, False, True),
 }
 
 
@@ -58,8 +66,13 @@ def tables(spark, rows):
 
 
 @pytest.fixture(scope="module", params=WAYS)
-def scale(request):
-    return WAYS[request.param]
+def way(request):
+    return request.param
+
+
+@pytest.fixture(scope="module")
+def scale(way):
+    return WAYS[way]
 
 
 def item_words(rows, scope):
@@ -79,6 +92,12 @@ def profiles(tables, scale):
     )
 
 
+def test_the_way_is_taken(profiles, way):
+    taken = (profiles.small, profiles.word_numbers is not None, profiles.hot_users is not None)
+    assert taken == TAKEN[way]
+    assert (profiles.hot_words is not None) == (way == "many words, hot keys")
+
+
 def test_totals_and_counts(profiles, rows):
     words = item_words(rows, "tagged")
     totals = {}
