@@ -1,5 +1,10 @@
 """Tag-based user similarity and recommendation on Spark DataFrames."""
 
+from tagmatch.operators.catalog import hash_catalog, item_catalog
+from tagmatch.operators.interactions import positive_interactions
+from tagmatch.operators.profiles import Profiles
+from tagmatch.operators.recommend import recommend_items
+from tagmatch.operators.similarity import cosine_similarity, most_similar
 from tagmatch.plans.recommendation import (
     recommend,
     recommend_hashed,
@@ -8,4 +13,17 @@ from tagmatch.plans.recommendation import (
 )
 from tagmatch.plans.skew import Scale
 
-__all__ = ["Scale", "recommend", "recommend_hashed", "recommend_tagged", "recommend_titled"]
+__all__ = [
+    "Profiles",
+    "Scale",
+    "cosine_similarity",
+    "hash_catalog",
+    "item_catalog",
+    "most_similar",
+    "positive_interactions",
+    "recommend",
+    "recommend_hashed",
+    "recommend_items",
+    "recommend_tagged",
+    "recommend_titled",
+]

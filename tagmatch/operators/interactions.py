@@ -50,7 +50,12 @@ def user_item_lists(liked: DataFrame, scale: Scale = Scale()) -> DataFrame:
     return (
         counted.groupBy("user_id", page.alias("page"))
         .agg(held.alias("held"))
-        .select("user_id", "page", F.col("held.app_id").alias("app_ids"), F.col("held.copies").alias("copies"))
+        .select(
+            "user_id",
+            "page",
+            F.col("held.app_id").alias("app_ids"),
+            F.col("held.copies").alias("copies"),
+        )
     )
 
 

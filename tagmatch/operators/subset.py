@@ -38,7 +38,8 @@ def subset_users(
     users: DataFrame, min_reviews: int, max_users: int, target_user: int | None = None
 ) -> DataFrame:
     """(user_id) of at most ``max_users`` active users: the target, if active, and
-    the others in id order. With a target, its place is kept even if it is not."""
+    the others in id order. With a target, its place is kept even if it is not.
+    The first ones are found as a top-k, so ``max_users`` should fit in one task."""
     active = active_users(users, min_reviews).select("user_id").distinct()
     if target_user is None:
         return active.orderBy("user_id").limit(max_users)
