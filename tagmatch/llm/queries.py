@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmatch.llm import line_dedup, near_dup, packing, quality
+from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,19 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", *near_dup.ADDED)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+        "n_near_items",
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -44,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
     "op4_near_dup": op4_near_dup,
+    "op5_decontaminate": op5_decontaminate,
     "op10_packing": op10_packing,
 }
 
