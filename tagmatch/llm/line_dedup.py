@@ -20,6 +20,8 @@ from tagmatch.sources.shared import stored
 
 #: A run counts if its lines, each with its line end, have this many characters.
 MIN_CHARS = 100
+#: Lists of lines to delete are broadcast up to this many documents and lines in all.
+BROADCAST_LINES = 2_000_000
 #: Cells of the running sums by which ranks are given.
 CELLS = 4096
 
@@ -194,6 +196,9 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         .select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("hash_"), "gone")
     )
     removed = stored(line_numbers, "removed")
+    size = removed.agg(F.coalesce(F.sum(F.size("gone") + 1), F.lit(0))).first()[0]
+    if size <= BROADCAST_LINES:
+        removed = F.broadcast(removed)
     starts = F.filter("gone", lambda x, i: (i == 0) | (F.get("gone", i - 1) != x - 1))
     lines = F.split("text", "\n", -1)
     size = F.size(lines)
