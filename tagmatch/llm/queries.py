@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, quality
+from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,19 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard(table(spark, sf_dir, "documents"))
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality": op3_quality,
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
+    "op8_shards": op8_shards,
     "op10_packing": op10_packing,
 }
 
