@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, quality, sharding
+from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, pii, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_pii(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in pii.KINDS],
+        F.sha2(pii.joined_spans("base_spans"), 256).alias("base_sha256"),
+        pii.joined_spans("spans").alias("spans"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", *line_dedup.ADDED, "text")
@@ -67,6 +77,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
     "op4_near_dup": op4_near_dup,
