@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, pii, quality, sharding
+from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, pii, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    scored = toxicity.with_toxicity(docs, lexicon)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard(table(spark, sf_dir, "documents"))
     return dealt.select(
@@ -82,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality": op3_quality,
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op8_shards": op8_shards,
     "op10_packing": op10_packing,
 }
