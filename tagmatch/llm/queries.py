@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmatch.llm import decontaminate, line_dedup, near_dup, packing, pii, quality, sharding, toxicity
+from tagmatch.llm import (
+    decontaminate,
+    html_text,
+    line_dedup,
+    near_dup,
+    packing,
+    pii,
+    quality,
+    sharding,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +77,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard(table(spark, sf_dir, "documents"))
     return dealt.select(
@@ -91,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_html_text": op7_html_text,
     "op8_shards": op8_shards,
     "op10_packing": op10_packing,
 }
