@@ -15,6 +15,7 @@ from tagmatch.llm import (
     packing,
     pii,
     quality,
+    repeats,
     sharding,
     toxicity,
 )
@@ -94,6 +95,11 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = repeats.with_repeats_removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return stripped.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_html_text": op7_html_text,
     "op8_shards": op8_shards,
+    "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
 }
 
