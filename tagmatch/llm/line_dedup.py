@@ -51,17 +51,12 @@ def _before(counts: DataFrame, group: list[str], key: str, cell: Column) -> Data
     )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents by key: a row that repeats in doc_id and text is one document."""
-    return docs.withColumn("text_hash", F.xxhash64("text"))
-
-
 def repeated_lines(docs: DataFrame) -> tuple[DataFrame, int]:
     """(document, pos, chars, rank) of every line that occurs twice or more, ranked by
     its number among them, and how many there are."""
     line = F.col("line")
     lines = (
-        _keyed(docs.select("doc_id", "text"))
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
         .filter(F.col("text").isNotNull())
         .select(*DOC, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
         .select(*DOC, "pos", (F.length(line) + 1).alias("chars"), F.unhex(F.md5(line.cast("binary"))).alias("line_hash"))
@@ -186,33 +181,28 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     empty. A null text stays null, with no lines. Rows equal in doc_id and text are one
     document and get the same result. Same-named columns are replaced.
     """
-    rest = [c for c in docs.columns if c not in (*ADDED, "text_hash")]
+    rest = [c for c in docs.columns if c not in ADDED]
     last = F.col("pos") + F.col("need") - 1
     line_numbers = (
         repeated_runs(docs, min_chars)
         .select(*DOC, F.explode(F.sequence("pos", last)).alias("line"))
         .groupBy(*DOC)
-        .agg(F.sort_array(F.collect_set("line")).alias("gone"))
-        .select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("hash_"), "gone")
+        .agg(F.sort_array(F.collect_set("line")).alias("_gone"))
+        .select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("hash_"), "_gone")
     )
     removed = stored(line_numbers, "removed")
-    size = removed.agg(F.coalesce(F.sum(F.size("gone") + 1), F.lit(0))).first()[0]
-    if size <= BROADCAST_LINES:
+    total = removed.agg(F.coalesce(F.sum(F.size("_gone") + 1), F.lit(0))).first()[0]
+    if total <= BROADCAST_LINES:
         removed = F.broadcast(removed)
-    starts = F.filter("gone", lambda x, i: (i == 0) | (F.get("gone", i - 1) != x - 1))
-    lines = F.split("text", "\n", -1)
-    size = F.size(lines)
-    stay = F.array_except(F.sequence(F.lit(0), size - 1), F.col("gone"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("lines"), i)), "\n")
-    joined = _keyed(docs.select(*rest)).join(
-        removed,
-        F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("text_hash") == F.col("hash_")),
-        "left",
-    )
-    return joined.withColumn("lines", lines).select(
-        *[c for c in rest if c != "text"],
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(size).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size(starts)).cast("long").alias("n_runs"),
+    gone, lines = F.col("_gone"), F.split("text", "\n", -1)
+    starts = F.filter(gone, lambda x, i: (i == 0) | (F.get(gone, i - 1) != x - 1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
+    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.xxhash64("text") == F.col("hash_"))
+    joined = docs.select(*rest).join(removed, same, "left").withColumn("_lines", lines)
+    return joined.select(
+        *[F.col(c) if c != "text" else F.when(gone.isNull(), F.col("text")).otherwise(kept).alias("text") for c in rest],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+        F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed"),
+        F.when(gone.isNull(), 0).otherwise(F.size(starts)).cast("long").alias("n_runs"),
     )

@@ -235,7 +235,7 @@ def with_pii(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFrame:
     rest = [c for c in docs.columns if c not in ADDED]
     found = find_pii(docs.select("doc_id", "text"), settings)
     size = found.agg(F.coalesce(F.sum(F.size("all") + 1), F.lit(0))).first()[0]
-    facts = found.select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("hash_"), "base", "all")
+    facts = found.select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("hash_"), F.col("base").alias("_base"), F.col("all").alias("_all"))
     if size <= BROADCAST_ROWS:
         facts = F.broadcast(facts)
     same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.xxhash64("text") == F.col("hash_"))
@@ -251,11 +251,11 @@ def with_pii(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFrame:
     joined = docs.select(*rest).join(facts, same, "left")
 
     def number(n: int) -> Column:
-        own = F.filter("base", lambda s: s["kind"] == n)
-        return F.when(F.col("base").isNull(), 0).otherwise(F.size(own)).cast("long")
+        own = F.filter("_base", lambda s: s["kind"] == n)
+        return F.when(F.col("_base").isNull(), 0).otherwise(F.size(own)).cast("long")
 
     counts = [number(n).alias(f"n_{k}") for n, k in enumerate(KINDS)]
-    return joined.select(*rest, *counts, named("base").alias("base_spans"), named("all").alias("spans"))
+    return joined.select(*rest, *counts, named("_base").alias("base_spans"), named("_all").alias("spans"))
 
 
 def joined_spans(spans: str) -> Column:
