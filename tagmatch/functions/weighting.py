@@ -35,6 +35,18 @@ def dense_dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
+def dense_sums(row: Column, target: Column) -> Column:
+    """Struct (dot, square) of two array columns, in one pass over their elements."""
+    pairs = F.arrays_zip(row.alias("a"), target.alias("b"))
+    zero = F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("square"))
+
+    def add(total: Column, pair: Column) -> Column:
+        a, b = pair["a"].cast("double"), pair["b"].cast("double")
+        return F.struct((total["dot"] + a * b).alias("dot"), (total["square"] + a * a).alias("square"))
+
+    return F.aggregate(pairs, zero, add)
+
+
 def dense_norm(vector: Column) -> Column:
     return norm(dense_dot(vector, vector))
 

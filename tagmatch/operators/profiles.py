@@ -36,14 +36,13 @@ class Profiles:
 
     catalog: one row per item, marked for broadcast if it is small.
     words_fit: one row per distinct word fits in a broadcast.
-    word_pages: pages that keep a list of distinct words bounded.
     """
 
     def __init__(self, liked: DataFrame, catalog: DataFrame, scale: Scale = Scale()) -> None:
         self.scale = scale
         self._liked = liked
         catalog = stored(catalog, "catalog")
-        self.small, self.words_fit, self.word_pages = _measure(catalog, scale)
+        self.small, self.words_fit = _measure(catalog, scale)
         self.catalog = F.broadcast(catalog) if self.small else catalog
         self._item_words = catalog.select("app_id", "words")
         if self.small:
@@ -62,14 +61,20 @@ class Profiles:
         """(user_id) of hot users; None if there are none."""
         return hot_keys(self._liked, "user_id", self.scale)
 
+    @cached_property
+    def _kept_rows(self) -> DataFrame:
+        """The rows, written once if ordinary and hot users are read apart: the two
+        parts are read several times, and narrow rows are cheaper than their source."""
+        return self._rows if self.hot_users is None else stored(self._rows, "rows")
+
     @cached_property
     def held(self) -> DataFrame:
         """(user_id, app_id, times), items not yet checked against the catalog. Of a
         small catalog, these are the shuffled rows that words are counted from."""
         if not self.small:
-            return self._rows.select("user_id", "app_id", "times")
-        by_user = _by_user(self._ordinary_of(self._rows))
-        hot = self._hot_of(self._rows)
+            return self._kept_rows.select("user_id", "app_id", "times")
+        by_user = _by_user(self._ordinary_of(self._kept_rows))
+        hot = self._hot_of(self._kept_rows)
         return by_user if hot is None else by_user.unionByName(hot)
 
     @cached_property
@@ -77,8 +82,8 @@ class Profiles:
         """(user_id, times, words) of ordinary users, hash-partitioned by user. The
         words are numbers if there is a table of ``word_numbers``."""
         if self.small:
-            return self._with_words(_by_user(self._ordinary_of(self._rows)))
-        return _by_user(self._ordinary_of(self._with_words(self._rows)))
+            return self._with_words(_by_user(self._ordinary_of(self._kept_rows)))
+        return _by_user(self._ordinary_of(self._with_words(self._kept_rows)))
 
     @cached_property
     def hot(self) -> DataFrame | None:
@@ -86,8 +91,8 @@ class Profiles:
         if self.hot_users is None:
             return None
         if self.small:
-            return self._with_words(self._hot_of(self._rows))
-        return self._hot_of(self._with_words(self._rows))
+            return self._with_words(self._hot_of(self._kept_rows))
+        return self._hot_of(self._with_words(self._kept_rows))
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -166,16 +171,16 @@ class Profiles:
         return self._with_items(rows, self._counted_words).select("user_id", "times", "words")
 
 
-def _measure(catalog: DataFrame, scale: Scale) -> tuple[bool, bool, int]:
-    """Whether the catalog fits in a broadcast, whether its distinct words do, and
-    the pages they fill. Of a small catalog, all words are taken for distinct."""
+def _measure(catalog: DataFrame, scale: Scale) -> tuple[bool, bool]:
+    """Whether the catalog fits in a broadcast, and whether its distinct words do. Of a
+    small catalog, all words are taken for distinct."""
     words = F.coalesce(F.sum(F.size("words")), F.lit(0))
     size = catalog.agg(text_bytes().alias("bytes"), words.alias("words")).first()
     small = size["bytes"] <= scale.broadcast_bytes
     if not _words_fit(size, scale):
         distinct = catalog.select(F.explode("words").alias("word")).distinct()
         size = distinct.agg(text_bytes().alias("bytes"), F.count("word").alias("words")).first()
-    return small, _words_fit(size, scale), 1 + size["words"] // scale.page_words
+    return small, _words_fit(size, scale)
 
 
 def _words_fit(size: Row, scale: Scale) -> bool:
@@ -254,12 +259,12 @@ def user_count(profiles: Profiles) -> DataFrame:
 def user_tag_profile(profiles: Profiles) -> DataFrame:
     """Words of each user in order, in pages.
 
-    A page holds each word once, and ``word_counts`` tells how often the user has
-    it. With few distinct words there is one page per user; more words are dealt to
-    more pages by hash, so that an array stays bounded.
+    A page holds each word once, and ``word_counts`` tells how often the user has it.
+    Words are dealt to ``Scale.word_pages`` pages by hash, so a word is on the same page
+    for every user and any data; a page without words has no row.
     """
-    pages = profiles.word_pages
-    page = F.pmod(F.xxhash64("word"), F.lit(pages)) if pages > 1 else F.lit(0).cast("bigint")
+    digits = F.substring(F.md5(F.col("word").cast("binary")), 1, 6)
+    page = F.conv(digits, 16, 10).cast("bigint") % profiles.scale.word_pages
     held = F.sort_array(F.collect_list(F.struct("word", "word_count")))
 
     def fold(rows: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tagmatch.functions.weighting import (
     cosine,
-    dense_dot,
     dense_norm,
+    dense_sums,
     most_similar_first,
     norm,
 )
@@ -121,19 +121,14 @@ def vector_cosine_topk(
     vectors: DataFrame, target_id: int, k: int = 3, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """The k dense vectors of highest cosine with one target vector."""
-    target = (
-        vectors.filter(F.col(key) == F.lit(target_id)).agg(F.max(vector)).scalar()
-    )
-    dot = dense_dot(F.col(vector), F.col("target"))
+    chosen = vectors.filter(F.col(key) == F.lit(target_id)).agg(F.max(vector).alias("target"))
+    target = chosen.select(F.struct("target", dense_norm(F.col("target")).alias("norm"))).scalar()
     scored = (
         vectors.filter(F.col(key) != F.lit(target_id))
-        .select(key, vector, target.alias("target"))
-        .filter(F.col("target").isNotNull())
-        .select(
-            key,
-            cosine(dot, dense_norm(F.col(vector)), dense_norm(F.col("target"))).alias(
-                "cosine_similarity"
-            ),
-        )
+        .select(key, vector, target.alias("t"))
+        .filter(F.col("t.target").isNotNull())
+        .select(key, dense_sums(F.col(vector), F.col("t.target")).alias("sums"), F.col("t.norm").alias("target_norm"))
+        .select(key, F.col("sums.dot").alias("dot"), norm(F.col("sums.square")).alias("norm"), "target_norm")
+        .select(key, cosine(F.col("dot"), F.col("norm"), F.col("target_norm")).alias("cosine_similarity"))
     )
     return scored.orderBy(*most_similar_first("cosine_similarity", key)).limit(k)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tagmatch.operators.interactions import distinct_items, sample_interactions, seeded_draw
 from tagmatch.plans.skew import Scale, semi_join
+from tagmatch.sources import files
+from tagmatch.sources.shared import stored
 
 KEY_BYTES = 16
 
@@ -61,6 +63,14 @@ def subset_by_keys(
     return kept.select(rows.columns)
 
 
+def _of_keys(table: DataFrame, keys: DataFrame, key: str, scale: Scale) -> DataFrame:
+    """Rows of a table with few rows per key, whose key is among distinct stored keys.
+    The keys are broadcast if they are measured to be small."""
+    if keys.count() * KEY_BYTES <= scale.broadcast_bytes:
+        keys = F.broadcast(keys)
+    return table.join(keys, key, "left_semi").select(table.columns)
+
+
 def build_subset(
     interactions: DataFrame,
     items: DataFrame,
@@ -77,16 +87,31 @@ def build_subset(
     """Liked rows, sampled, of chosen active users, and the items they touch.
 
     ``reviews`` counts all rows of a user and sampling comes after the choice, so
-    a chosen user may be left without rows.
+    a chosen user may be left without rows. A row is drawn by a hash of its columns, or
+    of ``sample_by``; rows equal in them are drawn together. The rows are stored once,
+    and items and tags are those of the stored rows.
     """
     liked = interactions.filter(F.col("is_recommended"))
     if fraction < 1.0:
-        liked = sample_interactions(liked, fraction, seed, sample_by)
-    chosen = subset_users(users, min_reviews, max_users, target_user)
-    kept = subset_by_keys(liked, chosen, "user_id", max_users, scale)
-    app_ids = distinct_items(kept)
+        liked = sample_interactions(liked, fraction, seed, sample_by or liked.columns)
+    chosen = stored(subset_users(users, min_reviews, max_users, target_user), "chosen")
+    kept = stored(subset_by_keys(liked, chosen, "user_id", max_users, scale), "kept")
+    app_ids = stored(distinct_items(kept), "app-ids")
     return Subset(
         kept,
-        subset_by_keys(items, app_ids, "app_id", None, scale),
-        subset_by_keys(item_tags, app_ids, "app_id", None, scale),
+        _of_keys(items, app_ids, "app_id", scale),
+        _of_keys(item_tags, app_ids, "app_id", scale),
     )
+
+
+def save_subset(subset: Subset, folder: str) -> Subset:
+    """Write the three tables under ``folder`` and return them as read from there.
+    Values come back as they were, line breaks, blanks and NULL included."""
+    spark = subset.interactions.sparkSession
+    read = []
+    for name, format in (("interactions", "csv"), ("items", "csv"), ("item_tags", "json")):
+        table, path = getattr(subset, name), f"{folder.rstrip('/')}/{name}"
+        files.write_table(table, path, format)
+        schema = ", ".join(f"`{column}` {kind}" for column, kind in table.dtypes)
+        read.append(files.read_table(spark, path, schema, format, escaped=True))
+    return Subset(*read)

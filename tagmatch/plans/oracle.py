@@ -2,79 +2,60 @@
 
 from __future__ import annotations
 
-from tagmatch.plans.queries import MAX_USERS, MIN_REVIEWS, NEAREST_VECTORS, TARGET_USER, TARGET_VECTOR
+from tagmatch.plans.queries import (
+    MAX_USERS,
+    MIN_REVIEWS,
+    NEAREST_VECTORS,
+    TARGET_USER,
+    TARGET_VECTOR,
+    WIDE_KEY,
+)
+from tagmatch.plans.skew import Scale
 
 # Common tables, each with the tables it reads.
 _TABLES: dict[str, str] = {
     "interactions": """
         SELECT l_partkey AS app_id, l_linenumber AS helpful, l_suppkey AS funny,
-               strftime(l_shipdate, '%Y-%m-%d') AS date, l_returnflag = 'A' AS is_recommended,
-               l_quantity AS hours, o_custkey AS user_id, l_orderkey * 8 + l_linenumber AS review_id
+               strftime(l_shipdate, '%Y-%m-%d') AS date,
+               (l_returnflag = 'A' AND CASE WHEN l_linenumber <> 6 THEN true END) AS is_recommended,
+               l_quantity AS hours, CASE WHEN l_linenumber <> 7 THEN o_custkey END AS user_id,
+               l_orderkey * 8 + l_linenumber AS review_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "items": "SELECT p_partkey AS app_id, p_name AS title FROM part",
-    "tags": """
-        SELECT p_partkey AS app_id, unnest(range(1, 1 + len(parts))) AS pos, unnest(parts) AS tag
-        FROM (SELECT p_partkey, list_concat(string_split_regex(p_name, '\\s+'),
-                     [p_brand, p_type, 'size ' || CAST(p_size AS VARCHAR)]) AS parts FROM part)""",
+    "items": """
+        SELECT p_partkey AS app_id, p_name AS title, p_type, p_size, p_retailprice
+        FROM part WHERE p_size % 10 <> 7
+        UNION ALL
+        SELECT p_partkey, p_name || ' II', p_type, p_size, p_retailprice
+        FROM part WHERE p_size % 10 = 8""",
+    "titles": "SELECT app_id, max(title) AS title FROM items GROUP BY app_id",
+    "plain_lists": """
+        SELECT p_partkey AS app_id, p_type AS description, p_size % 10 AS c,
+               list_concat(string_split_regex(p_name, '\\s+'),
+                           [p_brand, p_type, 'size ' || CAST(p_size AS VARCHAR)]) AS parts
+        FROM part""",
+    "tag_rows": """
+        SELECT app_id, description, 0 AS copy,
+               CASE c WHEN 3 THEN NULL WHEN 4 THEN CAST([] AS VARCHAR[])
+                      WHEN 5 THEN list_append(parts, 'New, Used')
+                      WHEN 6 THEN list_append(parts, '  Wide ' || chr(9) || ' Tag ') ELSE parts END AS tags
+        FROM plain_lists
+        UNION ALL
+        SELECT app_id, description, 1, list_append(parts, 'zz') FROM plain_lists WHERE c = 9""",
+    "tag_lists": "SELECT * FROM tag_rows WHERE len(tags) > 0",
+    "normal_lists": """
+        SELECT app_id, copy, list_transform(tags,
+               lambda t: lower(trim(regexp_replace(t, '\\s+', ' ', 'g')))) AS tags
+        FROM tag_lists""",
+    "word_lists": """
+        SELECT app_id, arg_max(string_split(array_to_string(tags, ','), ','), copy) AS words
+        FROM normal_lists GROUP BY app_id""",
+    "item_words": "SELECT app_id, unnest(words) AS word FROM word_lists",
     "users": """
         SELECT user_id, count(DISTINCT app_id) AS products, count(*) AS reviews
         FROM interactions GROUP BY user_id""",
     "liked": """
         SELECT user_id, app_id FROM interactions
         WHERE is_recommended AND user_id IS NOT NULL AND app_id IS NOT NULL""",
-    "normal_tags": """
-        SELECT app_id, pos, lower(trim(regexp_replace(tag, '\\s+', ' ', 'g'))) AS tag FROM tags""",
-    "item_words": """
-        SELECT app_id, unnest(string_split(string_agg(tag, ',' ORDER BY pos), ',')) AS word
-        FROM normal_tags GROUP BY app_id""",
-    "item_word_lists": """
-        SELECT app_id, array_to_string(string_split(string_agg(tag, ',' ORDER BY pos), ','), '|') AS words
-        FROM normal_tags GROUP BY app_id""",
-    "details": """
-        SELECT user_id, app_id, title, words
-        FROM liked JOIN items USING (app_id) JOIN item_word_lists USING (app_id)""",
-    "terms": """
-        SELECT user_id, word FROM liked JOIN items USING (app_id) JOIN item_words USING (app_id)""",
-    "counts": "SELECT user_id, word, count(*) AS word_count FROM terms GROUP BY user_id, word",
-    "totals": """
-        SELECT user_id, CAST(count(*) AS BIGINT) AS total_word_count FROM terms GROUP BY user_id""",
-    "tf": """
-        SELECT user_id, word, word_count, total_word_count,
-               CAST(word_count AS DOUBLE) / total_word_count AS tf
-        FROM counts JOIN totals USING (user_id)""",
-    "n": "SELECT CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM terms",
-    "df": "SELECT word, count(DISTINCT user_id) AS user_count FROM terms GROUP BY word",
-    "idf": """
-        SELECT word, user_count, ln(users / user_count) AS plain,
-               ln((users + 1) / (user_count + 1)) AS smoothed
-        FROM df CROSS JOIN n""",
-    "weights": """
-        SELECT user_id, word, tf * plain AS w, word_count * smoothed AS smoothed_w
-        FROM tf JOIN idf USING (word)""",
-    "norms": """
-        SELECT user_id, sqrt(sum(w * w)) AS norm, sqrt(sum(smoothed_w * smoothed_w)) AS smoothed_norm
-        FROM weights GROUP BY user_id""",
-    "dots": f"""
-        SELECT o.user_id, coalesce(sum(o.w * t.w), 0) AS dot,
-               coalesce(sum(o.smoothed_w * t.smoothed_w), 0) AS smoothed_dot
-        FROM weights o
-        LEFT JOIN (SELECT * FROM weights WHERE user_id = {TARGET_USER}) t ON o.word = t.word
-        WHERE o.user_id <> {TARGET_USER} AND EXISTS (
-            SELECT 1 FROM weights WHERE user_id = {TARGET_USER})
-        GROUP BY o.user_id""",
-    "sims": f"""
-        SELECT dots.user_id,
-               CASE WHEN o.norm * t.norm = 0 THEN 0 ELSE dot / (o.norm * t.norm) END AS sim,
-               CASE WHEN o.smoothed_norm * t.smoothed_norm = 0 THEN 0
-                    ELSE smoothed_dot / (o.smoothed_norm * t.smoothed_norm) END AS smoothed_sim
-        FROM dots JOIN norms o USING (user_id)
-        JOIN norms t ON t.user_id = {TARGET_USER}""",
-    "near": "SELECT user_id, sim FROM sims ORDER BY round(sim, 12) DESC, user_id LIMIT 3",
-    "near_positive": """
-        SELECT user_id, sim FROM sims WHERE sim > 0 ORDER BY round(sim, 12) DESC, user_id LIMIT 3""",
-    "near_hashed": """
-        SELECT user_id, smoothed_sim FROM sims
-        ORDER BY round(smoothed_sim, 12) DESC, user_id LIMIT 3""",
     "chosen": f"""
         SELECT user_id FROM users WHERE reviews >= {MIN_REVIEWS} AND user_id = {TARGET_USER}
         UNION ALL
@@ -83,14 +64,72 @@ _TABLES: dict[str, str] = {
             ORDER BY user_id LIMIT {MAX_USERS - 1})""",
     "kept": """
         SELECT * FROM interactions
-        WHERE is_recommended AND user_id IN (SELECT user_id FROM chosen)""",
+        WHERE is_recommended AND user_id IN (SELECT user_id FROM chosen)
+        AND md5(concat_ws('|', app_id, helpful, funny, date, is_recommended, hours, user_id,
+                          review_id, '19')) < '59999999'""",
+}
+
+
+def _scope(end: str, titled: bool) -> dict[str, str]:
+    """The tables of profiles and similarities, of titled items or of all tagged ones."""
+    join = "JOIN" if titled else "LEFT JOIN"
+    return {
+        f"details{end}": f"""
+            SELECT user_id, app_id, title, words
+            FROM liked {join} titles USING (app_id) JOIN word_lists USING (app_id)""",
+        f"terms{end}": f"SELECT user_id, unnest(words) AS word FROM details{end}",
+        f"counts{end}": f"SELECT user_id, word, count(*) AS word_count FROM terms{end} GROUP BY user_id, word",
+        f"totals{end}": f"""
+            SELECT user_id, CAST(count(*) AS BIGINT) AS total_word_count FROM terms{end} GROUP BY user_id""",
+        f"tf{end}": f"""
+            SELECT user_id, word, word_count, total_word_count,
+                   CAST(word_count AS DOUBLE) / total_word_count AS tf
+            FROM counts{end} JOIN totals{end} USING (user_id)""",
+        f"n{end}": f"SELECT CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM terms{end}",
+        f"df{end}": f"SELECT word, count(DISTINCT user_id) AS user_count FROM terms{end} GROUP BY word",
+        f"idf{end}": f"""
+            SELECT word, user_count, ln(users / user_count) AS plain,
+                   ln((users + 1) / (user_count + 1)) AS smoothed
+            FROM df{end} CROSS JOIN n{end}""",
+        f"weights{end}": f"""
+            SELECT user_id, word, tf * plain AS w, word_count * smoothed AS smoothed_w
+            FROM tf{end} JOIN idf{end} USING (word)""",
+        f"norms{end}": f"""
+            SELECT user_id, sqrt(sum(w * w)) AS norm, sqrt(sum(smoothed_w * smoothed_w)) AS smoothed_norm
+            FROM weights{end} GROUP BY user_id""",
+        f"dots{end}": f"""
+            SELECT o.user_id, coalesce(sum(o.w * t.w), 0) AS dot,
+                   coalesce(sum(o.smoothed_w * t.smoothed_w), 0) AS smoothed_dot
+            FROM weights{end} o
+            LEFT JOIN (SELECT * FROM weights{end} WHERE user_id = {TARGET_USER}) t ON o.word = t.word
+            WHERE o.user_id <> {TARGET_USER} AND EXISTS (
+                SELECT 1 FROM weights{end} WHERE user_id = {TARGET_USER})
+            GROUP BY o.user_id""",
+        f"sims{end}": f"""
+            SELECT dots{end}.user_id,
+                   CASE WHEN o.norm * t.norm = 0 THEN 0 ELSE dot / (o.norm * t.norm) END AS sim,
+                   CASE WHEN o.smoothed_norm * t.smoothed_norm = 0 THEN 0
+                        ELSE smoothed_dot / (o.smoothed_norm * t.smoothed_norm) END AS smoothed_sim
+            FROM dots{end} JOIN norms{end} o USING (user_id)
+            JOIN norms{end} t ON t.user_id = {TARGET_USER}""",
+    }
+
+
+_TABLES |= _scope("", True) | _scope("_tagged", False)
+_TABLES |= {
+    "near": "SELECT user_id, sim FROM sims ORDER BY round(sim, 12) DESC, user_id LIMIT 3",
+    "near_positive": """
+        SELECT user_id, sim FROM sims_tagged WHERE sim > 0 ORDER BY round(sim, 12) DESC, user_id LIMIT 3""",
+    "near_hashed": """
+        SELECT user_id, smoothed_sim FROM sims
+        ORDER BY round(smoothed_sim, 12) DESC, user_id LIMIT 3""",
 }
 
 _INTERACTION_COLUMNS = """
     app_id, CAST(helpful AS BIGINT) AS helpful, funny, date,
     CAST(is_recommended AS BIGINT) AS is_recommended, round(hours, 6) AS hours, user_id, review_id"""
 
-_TAG_LISTS = "SELECT app_id, string_agg(tag, '|' ORDER BY pos) AS tags FROM {table} GROUP BY app_id"
+_TAG_LISTS = "SELECT app_id, array_to_string(tags, '|') AS tags FROM {table}"
 
 
 def _with(select: str) -> str:
@@ -99,10 +138,10 @@ def _with(select: str) -> str:
     return f"WITH {tables}\n{select}"
 
 
-def _unseen(near: str) -> str:
+def _unseen(near: str, end: str = "") -> str:
     return f"""
-        FROM details WHERE user_id IN (SELECT user_id FROM {near})
-        AND app_id NOT IN (SELECT app_id FROM details WHERE user_id = {TARGET_USER})"""
+        FROM details{end} WHERE user_id IN (SELECT user_id FROM {near})
+        AND app_id NOT IN (SELECT app_id FROM details{end} WHERE user_id = {TARGET_USER})"""
 
 
 _LISTED = """
@@ -114,27 +153,33 @@ _SETS = """
     {unseen} GROUP BY app_id, title"""
 
 _SELECTS: dict[str, str] = {
-    "scan_interactions": f"SELECT {_INTERACTION_COLUMNS} FROM interactions",
-    "scan_items": """
-        SELECT p_partkey AS app_id, p_name AS title,
+    "scan_interactions": f"""
+        SELECT {_INTERACTION_COLUMNS} FROM (
+            SELECT * REPLACE (app_id + {WIDE_KEY} AS app_id, user_id + {WIDE_KEY} AS user_id,
+                              review_id + {WIDE_KEY} AS review_id) FROM interactions)""",
+    "scan_items": f"""
+        SELECT app_id + {WIDE_KEY} AS app_id,
+               CASE p_size % 7 WHEN 0 THEN title || chr(10) || 'second line' || chr(13)
+                    WHEN 1 THEN '"' || title || '", "' WHEN 2 THEN title || '\\n\\'
+                    WHEN 3 THEN '  ' || title || chr(9) || ' ' WHEN 4 THEN '' WHEN 5 THEN NULL
+                    ELSE title END AS title,
                '2000-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') AS date_release,
                CAST(1 AS BIGINT) AS win, CAST(p_size % 2 = 0 AS BIGINT) AS mac,
                CAST(p_size % 2 <> 0 AS BIGINT) AS linux, p_type AS rating,
                CAST(p_size AS BIGINT) AS positive_ratio, CAST(p_size AS BIGINT) AS user_reviews,
                round(p_retailprice, 6) AS price_final, round(p_retailprice, 6) AS price_original,
                CAST(0 AS DOUBLE) AS discount, CAST(p_size % 2 = 0 AS BIGINT) AS steam_deck
-        FROM part""",
-    "scan_item_tags": """
-        SELECT app_id, p_type AS description, string_agg(tag, '|' ORDER BY pos) AS tags
-        FROM tags JOIN part ON p_partkey = app_id GROUP BY app_id, p_type""",
-    "scan_users": "SELECT user_id, products, reviews FROM users",
+        FROM items""",
+    "scan_item_tags": f"""
+        SELECT app_id + {WIDE_KEY} AS app_id, description, array_to_string(tags, '|') AS tags FROM tag_rows""",
+    "scan_users": f"SELECT user_id + {WIDE_KEY} AS user_id, products, reviews FROM users",
     "subset_roundtrip_csv": f"SELECT {_INTERACTION_COLUMNS} FROM kept",
     "subset_roundtrip_json": """
-        SELECT app_id, string_agg(tag, '|' ORDER BY pos) AS tags FROM tags
-        WHERE app_id IN (SELECT app_id FROM kept) GROUP BY app_id""",
+        SELECT app_id, array_to_string(tags, '|') AS tags FROM tag_rows
+        WHERE app_id IN (SELECT app_id FROM kept)""",
     "recommendation_lines": f"""
         SELECT 'Game ID: ' || app_id || ', userId: ' || similar_user_ids || ', title: ' || title AS line
-        FROM ({_SETS.format(unseen=_unseen("near_positive"))})""",
+        FROM ({_SETS.format(unseen=_unseen("near_positive", "_tagged") + " AND title IS NOT NULL")})""",
     "recommendation_lines_list": f"""
         SELECT 'Game ID: ' || app_id || ', Title: ' || title || ', Users: '
                || replace(similar_user_ids, ',', ', ') AS line
@@ -143,7 +188,7 @@ _SELECTS: dict[str, str] = {
     "sample_interactions": """
         SELECT user_id, app_id, review_id FROM interactions
         WHERE is_recommended
-        AND md5(review_id || '|' || app_id || '|' || user_id || '|19') < '59999999'""",
+        AND md5(concat_ws('|', review_id, app_id, user_id, '19')) < '59999999'""",
     "user_item_lists": """
         SELECT user_id, app_id // 1000000 AS page,
                string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY app_id) AS app_ids,
@@ -151,18 +196,24 @@ _SELECTS: dict[str, str] = {
         FROM (SELECT user_id, app_id, count(*) AS copies FROM liked GROUP BY user_id, app_id)
         GROUP BY user_id, app_id // 1000000""",
     "distinct_items": "SELECT DISTINCT app_id FROM liked",
-    "tagged_items": _TAG_LISTS.format(table="tags"),
-    "normalize_tags": _TAG_LISTS.format(table="normal_tags"),
+    "tagged_items": _TAG_LISTS.format(table="tag_lists"),
+    "normalize_tags": _TAG_LISTS.format(table="normal_lists"),
     "item_title_lookup": "SELECT app_id, max(title) AS title FROM items GROUP BY app_id",
-    "item_tag_lookup": _TAG_LISTS.format(table="tags"),
-    "user_item_details": "SELECT user_id, app_id, title, words FROM details",
+    "item_tag_lookup": """
+        SELECT app_id, array_to_string(arg_max(tags, copy), '|') AS tags FROM (
+            SELECT app_id, copy, tags FROM tag_rows WHERE tags IS NOT NULL
+            UNION ALL SELECT app_id, -1, NULL FROM tag_rows)
+        GROUP BY app_id""",
+    "user_item_details": """
+        SELECT user_id, app_id, title, array_to_string(words, '|') AS words FROM details""",
     "tagged_interactions": """
-        SELECT user_id, app_id, words FROM liked JOIN item_word_lists USING (app_id)""",
+        SELECT user_id, app_id, array_to_string(words, '|') AS words FROM details_tagged""",
     "user_terms": "SELECT user_id, word FROM terms",
-    "user_tag_profile": """
-        SELECT user_id, CAST(0 AS BIGINT) AS page, string_agg(word, '|' ORDER BY word) AS tag_words,
+    "user_tag_profile": f"""
+        SELECT user_id, page, string_agg(word, '|' ORDER BY word) AS tag_words,
                string_agg(CAST(word_count AS VARCHAR), ',' ORDER BY word) AS word_counts
-        FROM counts GROUP BY user_id""",
+        FROM (SELECT *, CAST('0x' || md5(word)[:6] AS BIGINT) % {Scale().word_pages} AS page FROM counts)
+        GROUP BY user_id, page""",
     "user_term_totals": "SELECT user_id, total_word_count FROM totals",
     "user_term_counts": "SELECT user_id, word, word_count FROM counts",
     "user_count": "SELECT CAST(users AS BIGINT) AS user_count FROM n",
@@ -198,12 +249,13 @@ _SELECTS: dict[str, str] = {
     "unseen_items": f"""
         SELECT app_id, user_id, count(*) AS times {_unseen("near")} GROUP BY app_id, user_id""",
     "recommend_titled": _LISTED.format(unseen=_unseen("near")),
-    "recommend_tagged": _SETS.format(unseen=_unseen("near_positive")),
+    "recommend_tagged": _SETS.format(unseen=_unseen("near_positive", "_tagged") + " AND title IS NOT NULL"),
     "recommend_hashed": _LISTED.format(unseen=_unseen("near_hashed")),
     "active_users": f"""
-        SELECT user_id, products, reviews FROM users WHERE reviews >= {MIN_REVIEWS}""",
+        SELECT user_id, products, reviews FROM users
+        WHERE reviews >= {MIN_REVIEWS} AND user_id IS NOT NULL""",
     "pick_user": f"""
-        SELECT user_id FROM users WHERE reviews >= {MIN_REVIEWS}
+        SELECT user_id FROM users WHERE reviews >= {MIN_REVIEWS} AND user_id IS NOT NULL
         ORDER BY md5(user_id || '|19'), user_id LIMIT 1""",
     "subset_users": "SELECT user_id FROM chosen",
     "subset_by_keys": f"""
@@ -215,8 +267,8 @@ _SELECTS: dict[str, str] = {
         SELECT 'items', app_id, CAST(-1 AS BIGINT) FROM items
         WHERE app_id IN (SELECT app_id FROM kept)
         UNION ALL
-        SELECT 'item_tags', p_partkey, CAST(-1 AS BIGINT) FROM part
-        WHERE p_partkey IN (SELECT app_id FROM kept)""",
+        SELECT 'item_tags', app_id, CAST(-1 AS BIGINT) FROM tag_rows
+        WHERE app_id IN (SELECT app_id FROM kept)""",
 }
 
 ORACLE_SQL: dict[str, str] = {name: _with(select) for name, select in _SELECTS.items()}

@@ -28,6 +28,7 @@ TARGET_VECTOR = 0
 NEAREST_VECTORS = 10
 MIN_REVIEWS = 40
 MAX_USERS = 25
+WIDE_KEY = 3_000_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,16 +81,33 @@ def _interaction_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def _wide(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys that don't fit in 32 bits."""
+    return df.withColumns({key: F.col(key) + WIDE_KEY for key in keys})
+
+
 def scan_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "interactions")
-    files.write_table(testdata.interactions(spark, sf_dir), path)
-    return _interaction_columns(files.read_interactions(spark, path))
+    rows = _wide(testdata.interactions(spark, sf_dir), "app_id", "user_id", "review_id")
+    files.write_table(rows, path)
+    return _interaction_columns(files.read_interactions(spark, path, escaped=True))
 
 
 def scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "items")
-    files.write_table(testdata.items(spark, sf_dir), path)
-    return files.read_items(spark, path).select(
+    odd = F.col("positive_ratio") % 7
+    title = (
+        F.when(odd == 0, F.concat("title", F.lit("\nsecond line\r")))
+        .when(odd == 1, F.concat(F.lit('"'), "title", F.lit('", "')))
+        .when(odd == 2, F.concat("title", F.lit("\\n\\")))
+        .when(odd == 3, F.concat(F.lit("  "), "title", F.lit("\t ")))
+        .when(odd == 4, F.lit(""))
+        .when(odd == 5, F.lit(None).cast("string"))
+        .otherwise(F.col("title"))
+    )
+    rows = _wide(testdata.items(spark, sf_dir), "app_id").withColumn("title", title)
+    files.write_table(rows, path)
+    return files.read_items(spark, path, escaped=True).select(
         _key("app_id"), "title", "date_release", _key("win"), _key("mac"), _key("linux"),
         "rating", _key("positive_ratio"), _key("user_reviews"), _real("price_final"),
         _real("price_original"), _real("discount"), _key("steam_deck"),
@@ -98,7 +116,7 @@ def scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_item_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "item_tags")
-    files.write_table(testdata.item_tags(spark, sf_dir), path, "json")
+    files.write_table(_wide(testdata.item_tags(spark, sf_dir), "app_id"), path, "json")
     return files.read_item_tags(spark, path).select(
         _key("app_id"), "description", _joined("tags", "|")
     )
@@ -106,8 +124,8 @@ def scan_item_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "users")
-    files.write_table(testdata.users(spark, sf_dir), path)
-    return files.read_users(spark, path).select(
+    files.write_table(_wide(testdata.users(spark, sf_dir), "user_id"), path)
+    return files.read_users(spark, path, escaped=True).select(
         _key("user_id"), _key("products"), _key("reviews")
     )
 
@@ -119,20 +137,19 @@ def _subset(spark: SparkSession, sf_dir: str) -> sub.Subset:
         min_reviews=MIN_REVIEWS,
         max_users=MAX_USERS,
         target_user=TARGET_USER,
-        fraction=1.0,
     )
 
 
+def _saved(spark: SparkSession, sf_dir: str) -> sub.Subset:
+    return sub.save_subset(_subset(spark, sf_dir), shared_folder(spark, "subset"))
+
+
 def subset_roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_folder(spark, "subset-interactions")
-    files.write_table(_subset(spark, sf_dir).interactions, path)
-    return _interaction_columns(files.read_interactions(spark, path))
+    return _interaction_columns(_saved(spark, sf_dir).interactions)
 
 
 def subset_roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_folder(spark, "subset-item-tags")
-    files.write_table(_subset(spark, sf_dir).item_tags, path, "json")
-    return files.read_item_tags(spark, path).select(_key("app_id"), _joined("tags", "|"))
+    return _saved(spark, sf_dir).item_tags.select(_key("app_id"), _joined("tags", "|"))
 
 
 def recommendation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ class Scale:
         row count keeps small inputs from being split for nothing.
     salts: pieces a hot key is split into.
     page_ids: item ids per page of a user's item list.
-    page_words: distinct words per page of a user's tag profile, on average.
+    word_pages: pages of a user's tag profile, whatever the data.
     """
 
     broadcast_bytes: int = 32 * 1024 * 1024
@@ -33,7 +33,7 @@ class Scale:
     hot_rows: int = 1_000_000
     salts: int = 64
     page_ids: int = 1_000_000
-    page_words: int = 1_000_000
+    word_pages: int = 4
 
     def is_hot(self, rows: Column, all_rows: Column) -> Column:
         share = all_rows.cast("double") * F.lit(self.hot_share)

@@ -2,13 +2,13 @@
 
 # Column names and types of the four input tables.
 INTERACTIONS = (
-    "app_id INT NOT NULL, helpful INT, funny INT, date STRING, is_recommended BOOLEAN, "
-    "hours DOUBLE, user_id INT NOT NULL, review_id INT NOT NULL"
+    "app_id BIGINT NOT NULL, helpful INT, funny INT, date STRING, is_recommended BOOLEAN, "
+    "hours DOUBLE, user_id BIGINT NOT NULL, review_id BIGINT NOT NULL"
 )
 ITEMS = (
-    "app_id INT NOT NULL, title STRING, date_release STRING, win BOOLEAN, mac BOOLEAN, "
+    "app_id BIGINT NOT NULL, title STRING, date_release STRING, win BOOLEAN, mac BOOLEAN, "
     "linux BOOLEAN, rating STRING, positive_ratio INT, user_reviews INT, price_final DOUBLE, "
     "price_original DOUBLE, discount DOUBLE, steam_deck BOOLEAN"
 )
-ITEM_TAGS = "app_id INT NOT NULL, description STRING, tags ARRAY<STRING>"
-USERS = "user_id INT NOT NULL, products INT, reviews INT"
+ITEM_TAGS = "app_id BIGINT NOT NULL, description STRING, tags ARRAY<STRING>"
+USERS = "user_id BIGINT NOT NULL, products INT, reviews INT"

@@ -2,11 +2,15 @@
 
 An order's customer is the user, a line's part the item, and a returned line
 (flag A) a liked row. Part names, brands, types and sizes are the tags.
+
+Some cases that the test tables lack are made from line numbers and part sizes: rows
+without a flag or a user, items without a title row, without tags or with an empty
+list, items with two title rows or two tag lists, tags with commas and odd blanks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMAS = {
@@ -35,18 +39,24 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("helpful"),
         F.col("l_suppkey").alias("funny"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        (F.col("l_returnflag") == "A").alias("is_recommended"),
+        ((F.col("l_returnflag") == "A") & F.when(F.col("l_linenumber") != 6, F.lit(True))).alias("is_recommended"),
         F.col("l_quantity").alias("hours"),
-        F.col("o_custkey").alias("user_id"),
+        F.when(F.col("l_linenumber") != 7, F.col("o_custkey")).alias("user_id"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("review_id"),
     )
 
 
+def _case() -> Column:
+    return F.col("p_size") % 10
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("p_size") % 2 == 0
-    return table(spark, sf_dir, "part").select(
+    twice = F.when(_case() == 8, F.array(F.col("p_name"), F.concat("p_name", F.lit(" II"))))
+    parts = table(spark, sf_dir, "part").filter(_case() != 7)
+    return parts.withColumn("title", F.explode(F.coalesce(twice, F.array("p_name")))).select(
         F.col("p_partkey").alias("app_id"),
-        F.col("p_name").alias("title"),
+        "title",
         F.concat(F.lit("2000-01-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0")).alias(
             "date_release"
         ),
@@ -65,10 +75,19 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.concat(F.lit("size "), F.col("p_size").cast("string"))
+    plain = F.concat(F.split("p_name", r"\s+"), F.array("p_brand", "p_type", size))
+    tags = (
+        F.when(_case() == 3, F.lit(None))
+        .when(_case() == 4, F.array().cast("array<string>"))
+        .when(_case() == 5, F.concat(plain, F.array(F.lit("New, Used"))))
+        .when(_case() == 6, F.concat(plain, F.array(F.lit("  Wide \t Tag "))))
+        .otherwise(plain)
+    )
+    twice = F.when(_case() == 9, F.array(plain, F.concat(plain, F.array(F.lit("zz")))))
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("app_id"),
         F.col("p_type").alias("description"),
-        F.concat(F.split("p_name", r"\s+"), F.array("p_brand", "p_type", size)).alias("tags"),
+        F.explode(F.coalesce(twice, F.array(tags))).alias("tags"),
     )
 
 

@@ -10,10 +10,18 @@ from tagmatch.functions.tags import tag_words
 from tagmatch.operators.catalog import hash_catalog, item_catalog, item_tag_lookup, item_title_lookup
 from tagmatch.operators.interactions import sample_interactions, user_item_lists
 from tagmatch.operators.similarity import vector_cosine_topk
-from tagmatch.operators.subset import build_subset, pick_user, subset_by_keys, subset_users
+from tagmatch.operators import recommend
+from tagmatch.operators.subset import (
+    build_subset,
+    pick_user,
+    save_subset,
+    subset_by_keys,
+    subset_users,
+)
 from tagmatch.plans import skew
-from tagmatch.sources import files
+from tagmatch.sources import files, testdata
 from tagmatch.sources.shared import shared_folder
+from tests.conftest import TESTDATA
 
 
 def words_of(spark, tags):
@@ -134,7 +142,43 @@ def test_subset_by_keys(spark, scale, bound):
     assert sorted(r.v for r in kept.collect()) == ["a", "b", "b", "d"]
 
 
-def test_build_subset(spark, users):
+def test_subset_parts_belong_together(spark):
+    """At the defaults, with partitions that differ from plan to plan."""
+    sf_dir = f"{TESTDATA}/sf0.01"
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        parts = build_subset(
+            testdata.interactions(spark, sf_dir),
+            testdata.items(spark, sf_dir),
+            testdata.item_tags(spark, sf_dir),
+            testdata.users(spark, sf_dir),
+            40,
+            25,
+        )
+        touched = {r.app_id for r in parts.interactions.collect()}
+        tags = {r.app_id for r in parts.item_tags.collect()}
+        items = {r.app_id for r in parts.items.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert tags == touched and items <= touched and len(items) > 50
+
+
+def test_list_of_very_many_copies_is_refused(spark):
+    holder = spark.range(1).select(F.array(F.struct(F.lit(7).alias("user_id"), F.lit(10**7).alias("times"))).alias("h"))
+    assert holder.select(recommend._users(F.col("h"), "counts")).first()[0][0].times == 10**7
+    with pytest.raises(Exception, match="too often"):
+        holder.select(recommend._users(F.col("h"), "list")).collect()
+
+
+def test_build_subset(spark, users, tmp_path):
     interactions = spark.createDataFrame(
         [(1, 10, True), (2, 11, True), (2, 12, False), (3, 13, True), (5, 10, True), (5, 14, True)],
         "user_id int, app_id int, is_recommended boolean",
@@ -147,6 +191,9 @@ def test_build_subset(spark, users):
     assert sorted(r.app_id for r in subset.items.collect()) == [10, 14]
     assert sorted(r.app_id for r in subset.item_tags.collect()) == [10, 14]
     assert subset.interactions.columns == interactions.columns
+    saved = save_subset(subset, str(tmp_path))
+    assert sorted((r.user_id, r.app_id) for r in saved.interactions.collect()) == kept
+    assert {r.app_id: r.tags for r in saved.item_tags.collect()} == {10: ["x"], 14: ["x"]}
     sampled = build_subset(
         interactions, items, tags, users, 5, 9, fraction=0.5, sample_by=["user_id", "app_id"]
     )
@@ -165,9 +212,22 @@ def test_csv_modes_and_bad_keys(spark, tmp_path):
     assert files.read_users(spark, path).count() == 4
     with open(os.path.join(path, "more.csv"), "w") as more:
         more.write("user_id,products,reviews\nabc,1,2\n,3,4\n")
-    read = files.read_users(spark, path)
-    assert read.dtypes == [("user_id", "int"), ("products", "int"), ("reviews", "int")]
-    assert read.filter("user_id IS NULL").count() == 2
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        files.read_users(spark, path).collect()
+    read = files.read_users(spark, path, malformed="keep")
+    assert read.dtypes[:3] == [("user_id", "bigint"), ("products", "int"), ("reviews", "int")]
+    bad = [r for r in read.collect() if r["_corrupt_record"] is not None]
+    assert [r["_corrupt_record"] for r in bad] == ["abc,1,2"]
+
+
+def test_csv_gives_every_value_back(spark, tmp_path):
+    path = str(tmp_path / "items")
+    titles = ["a\nb", "\r\n", "  x\t ", "", None, '"q", "', "\\n", "\\", "\\\\n\n", "\\N", "a,b", "'"]
+    rows = [(3_000_000_000 + i, title) for i, title in enumerate(titles)]
+    schema = "app_id BIGINT NOT NULL, title STRING"
+    files.write_table(spark.createDataFrame(rows, schema).repartition(2), path)
+    read = files.read_table(spark, path, schema, escaped=True)
+    assert sorted(tuple(r) for r in read.collect()) == rows
 
 
 def test_json_keeps_arrays(spark, tmp_path):

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.conftest import TESTDATA
+from tagmatch.plans.queries import QUERIES as REFERENCE_QUERIES
 from tests.oracle_check import connect, duckdb_rows, spark_rows
 
 SF_DIR = f"{TESTDATA}/sf0.01"
@@ -16,8 +17,8 @@ def connection():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_query_of_the_reference_has_sql():
+    assert set(REFERENCE_QUERIES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

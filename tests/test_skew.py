@@ -23,7 +23,7 @@ WAYS = {
     "hot users": Scale(hot_rows=300, salts=4),
     "large catalog": Scale(broadcast_bytes=4000),
     "large catalog, hot keys": Scale(broadcast_bytes=4000, hot_rows=300, salts=4),
-    "many words, hot keys": Scale(broadcast_bytes=0, hot_rows=35, salts=4, page_words=10),
+    "many words, hot keys": Scale(broadcast_bytes=0, hot_rows=35, salts=4),
 }
 # Whether the catalog is broadcast, words are numbered, and there are hot users.
 TAKEN = {
