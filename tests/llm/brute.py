@@ -1,0 +1,141 @@
+"""The operators again, in plain Python, for small inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+FORMS = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def luhn(digits):
+    total = 0
+    for place, digit in enumerate(reversed(digits)):
+        value = int(digit) * (1 + place % 2)
+        total += value - 9 if value > 9 else value
+    return total % 10 == 0
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in match.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 if kind == "phone" else True
+
+
+def base_spans(text):
+    return [
+        (kind, m.start(), m.end())
+        for kind, form in FORMS.items()
+        for m in form.finditer(text or "")
+        if valid(kind, m.group())
+    ]
+
+
+def line_dedup(docs, min_chars):
+    """{doc_id: text} without later copies, of docs in order."""
+    seen, out = set(), {}
+    for doc, text in docs:
+        lines, gone = text.split("\n"), set()
+        for first in range(len(lines)):
+            last, chars = first, 0
+            while last < len(lines) and chars < min_chars:
+                chars += len(lines[last]) + 1
+                last += 1
+            if chars >= min_chars:
+                run = tuple(lines[first:last])
+                if run in seen:
+                    gone.update(range(first, last))
+                seen.add(run)
+        out[doc] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
+
+
+def quality_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    inside = set()
+    for i in range(len(words) - 4):
+        if windows[tuple(words[i : i + 5])] > 1:
+            inside.update(range(i, i + 5))
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        dup += line in seen
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(inside)
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3)))
+
+
+def near_components(docs):
+    """{doc_id: (set size, least doc_id of its component)}."""
+    sets = {doc: shingles(text) for doc, text in docs}
+    parent = {doc: doc for doc in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    names = list(sets)
+    for i, a in enumerate(names):
+        for b in names[:i]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                one, other = find(a), find(b)
+                parent[max(one, other)] = min(one, other)
+    return {doc: (len(s), find(doc)) for doc, s in sets.items()}
+
+
+def contamination(docs, items):
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+    windows = {}
+    for item, text in items:
+        own = words(text)
+        size = min(10, len(own))
+        for start in range(len(own) - size + 1 if own else 0):
+            windows.setdefault(tuple(own[start : start + size]), set()).add(item)
+    sizes, out = {len(w) for w in windows}, []
+    for doc, text in docs:
+        own, hit, found = words(text), set(), set()
+        for size in sizes:
+            for start in range(len(own) - size + 1):
+                window = tuple(own[start : start + size])
+                if window in windows:
+                    hit.update(range(start, start + size))
+                    found |= windows[window]
+        out.append((doc, len(own), len(hit), sorted(str(i) for i in found if i is not None)))
+    return out
+
+
+def repeats(docs):
+    """(doc_id, bytes, removed, runs, sha256) of every row."""
+    data = [(doc, (text or "").encode()) for doc, text in docs]
+    count = Counter(b[i : i + 200] for _, b in data for i in range(len(b) - 199))
+    out = []
+    for doc, b in data:
+        cover = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if count[b[i : i + 200]] > 1:
+                cover[i : i + 200] = b"\1" * 200
+        runs = sum(1 for i, c in enumerate(cover) if c and (i == 0 or not cover[i - 1]))
+        kept = bytes(x for x, c in zip(b, cover) if not c)
+        out.append((doc, len(b), sum(cover), runs, hashlib.sha256(kept).hexdigest()))
+    return out
