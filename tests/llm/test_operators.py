@@ -71,11 +71,13 @@ def test_line_dedup(spark):
     rows = [(i, "\n".join(rng.choice("abcdef") * rng.choice([1, 8]) for _ in range(rng.randrange(30)))) for i in range(60)]
     rows += [(100, rows[5][1]), (101, "\n" * 300), (102, "x" * 50_000), (103, "x" * 50_000)]
     for chars in (1, 12, 40):
-        got = line_dedup.line_dedup(frame(spark, rows, "_gone"), chars).collect()
+        got = line_dedup.line_dedup(frame(spark, rows, "gone"), chars).collect()
         assert {r.doc_id: r.text for r in got} == brute.line_dedup(rows, chars)
-        assert all(r["_gone"] == "mine" if "_gone" in r else True for r in got)
+        assert all(r.gone == "mine" for r in got)
     awkward = line_dedup.line_dedup(frame(spark, AWKWARD, "n_lines")).collect()
-    assert sorted((r.doc_id or 0, r.text or "") for r in awkward) == sorted((d or 0, t or "") for d, t in AWKWARD)
+    blank = brute.line_dedup([(8, "\n" * 500)], line_dedup.MIN_CHARS)
+    want = [(d or 0, blank[8] if d == 8 else t or "") for d, t in AWKWARD]
+    assert sorted((r.doc_id or 0, r.text or "") for r in awkward) == sorted(want)
     assert line_dedup.line_dedup(frame(spark, rows).limit(0)).count() == 0
 
 
@@ -84,7 +86,8 @@ def test_quality(spark):
     rows = [(i, noise(i, "ab c\n#", 200)) for i in range(40)] + AWKWARD
     rows += [(500 + i, " ".join(random.Random(i).sample((plain * 4).split(), 70))) for i in range(80)]
     rows += [(700, " ".join(f"w{i}###" for i in range(300)))]
-    docs = frame(spark, rows, "kept").withColumn("lang", F.lit("en"))
+    lang = F.when(F.col("doc_id") >= 500, "en").otherwise("xx")
+    docs = frame(spark, rows, "kept").withColumn("lang", lang)
     judged = quality.quality_rules(docs).collect()
     assert len(judged) == len(rows)
     for r in judged:
