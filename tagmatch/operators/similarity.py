@@ -17,6 +17,9 @@ from tagmatch.operators.weights import inverse_document_frequency, join_words, w
 
 ZERO_RULES = ("keep", "drop")
 
+#: Neighbours that may be asked for.
+MAX_NEIGHBOURS = 100_000
+
 
 def _words_with_target(profiles: Profiles, target_user: int, kind: str) -> DataFrame:
     """(word, user_count, target_count, idf). One grouping by word gives both the
@@ -113,7 +116,10 @@ def cosine_similarity(
 
 
 def most_similar(similarities: DataFrame, k: int = 3) -> DataFrame:
-    """The k users of highest similarity; of equals, the lower ids."""
+    """The k users of highest similarity; of equals, the lower ids. They are broadcast
+    later on, so k is bounded."""
+    if k > MAX_NEIGHBOURS:
+        raise ValueError(f"k must be {MAX_NEIGHBOURS} at most, not {k}")
     return similarities.orderBy(*most_similar_first("cosine_similarity", "user_id")).limit(k)
 
 
