@@ -67,7 +67,8 @@ def _item_terms(benchmark: DataFrame) -> DataFrame:
 
 def _postings(docs: DataFrame, terms: DataFrame, single: bool) -> DataFrame:
     """(document, n_words, pos, term) of benchmark terms, and a row with pos -1 and no
-    term for each document. Terms of one word are looked up only if there are any."""
+    term for each document; each once, however often a document's row is repeated.
+    Terms of one word are looked up only if there are any."""
     tokens = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
     marked = F.concat(F.array(F.lit("")), F.col("w"))
     pairs = F.arrays_zip(marked.alias("a"), F.col("w").alias("b"))
@@ -82,7 +83,7 @@ def _postings(docs: DataFrame, terms: DataFrame, single: bool) -> DataFrame:
     both = found(_lowered(F.concat_ws(" ", "p.a", "p.b"))).filter("pos = -1 OR term_id IS NOT NULL")
     if single:
         both = both.unionByName(found(_lowered(F.col("p.a"))).filter("pos >= 0 AND term_id IS NOT NULL"))
-    return both
+    return both.distinct()
 
 
 def _windows(item_terms: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:

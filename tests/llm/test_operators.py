@@ -165,6 +165,19 @@ def test_decontaminate(spark):
     assert clean.agg(F.sum("n_hit")).first()[0] == 0 and clean.count() == len(rows)
 
 
+def test_decontaminate_repeated_rows(spark):
+    items = [("a", " ".join(f"a{i}" for i in range(10))), ("b", "b0 b1 b2 b3 b4")]
+    rows = [(1, "so " + items[0][1])] * 3 + [(None, "and " + items[0][1])] * 2
+    rows += [(2, items[1][1] + " then")] * 2 + [(3, items[0][1]), (4, "a0 a1 a2")] + [(5, "a8 a9 b0")] * 2
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, DOCS), benchmark).collect()
+    want = brute.contamination(rows, items)
+    assert sum(hit > 0 for _, _, hit, _ in want) == 8
+    assert sorted((r.doc_id or -1, r.n_words, r.n_hit, r.item_ids) for r in got) == sorted(
+        (d or -1, *rest) for d, *rest in want
+    )
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     plain = [f"w{i}word" for i in range(200)]
