@@ -49,8 +49,8 @@ def _maybe_broadcast(df: DataFrame) -> DataFrame:
 
 def _item_terms(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, size, offset, term) of every term of every item with words. Rows
-    that share an item_id are one item with the windows of all."""
-    tokens = benchmark.select(
+    that share an item_id are one item with the windows of all; a repeated row counts once."""
+    tokens = benchmark.select("item_id", "text").distinct().select(
         F.xxhash64("item_id", "text").alias("item"),
         F.col("item_id").cast("string").alias("item_id"),
         words(F.col("text")).alias("w"),
@@ -120,7 +120,7 @@ def _matches(postings: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFr
         F.col("terms")[0]["offset"].alias("offset"),
         F.get("terms", F.lit(1))["term_id"].alias("second"),
         F.get("terms", F.lit(1))["offset"].alias("second_offset"),
-        F.slice("terms", 3, WINDOW).alias("others"),
+        F.slice("terms", F.lit(3), F.size("terms")).alias("others"),
     )
     first = stored(
         there.join(_maybe_broadcast(rarest), "term_id")

@@ -178,6 +178,20 @@ def test_decontaminate_repeated_rows(spark):
     )
 
 
+@pytest.mark.parametrize("copies", [2, 13])
+def test_decontaminate_repeated_items(spark, copies):
+    text = " ".join(f"w{i}" for i in range(10))
+    items = [("a", text)] * copies + [(None, text.replace("w", "v"))] * copies
+    often = "w5 w6 w7 v5 v6 v7"  # frequent words, so they are compared last
+    rows = [(1, text.replace("w6", "x")), (2, text.replace("w", "v").replace("v6", "x"))]
+    rows += [(3, text), (4, text.replace("w", "v"))] + [(10 + i, often) for i in range(9)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, DOCS), benchmark).collect()
+    want = brute.contamination(rows, items)
+    assert {doc for doc, _, hit, _ in want if hit} == {3, 4}
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in got) == sorted(want)
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     plain = [f"w{i}word" for i in range(200)]
