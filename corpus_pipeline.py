@@ -17,6 +17,9 @@ from tagmatch.sources.shared import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Words of a shingle in the near-dup stage; the query op4_near_dup has four.
+NEAR_DUP_WORDS = 5
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
@@ -33,8 +36,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_dup.near_duplicates(docs).filter("kept").select(*docs.columns)
+    """One document of each group of near copies, by shingles of five words."""
+    return near_dup.near_duplicates(docs, words=NEAR_DUP_WORDS).filter("kept").select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
