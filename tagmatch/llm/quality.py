@@ -2,7 +2,8 @@
 
 A document's character-class histogram and common-word histogram are compared with
 the histograms of each language of the corpus by Jensen-Shannon distance. The
-references are summed over all documents of a language.
+references are summed over all documents of a language. Those of common languages
+are there for every document, that of a rare language for its own documents.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmatch.llm.ship import ship
@@ -65,9 +66,10 @@ class QualityRules:
 
     A text of fewer than ``guard_words`` words is not judged by divergence: its
     histograms are noise. Noise falls with the root of the length, so a distance may
-    be ``max_..._distance + ..._slack / sqrt(words)``. ``reference_share``: a language
-    needs this share of all documents to become a reference, so there are at most
-    1 / share of them.
+    be ``max_..._distance + ..._slack / sqrt(words)``. ``reference_words``: a language
+    with this many words has a reference; with fewer, its documents are judged by the
+    base rules only. ``reference_share``: the reference of a language with this share of
+    all documents is there for the documents of all languages.
     """
 
     min_words: int = 10
@@ -78,6 +80,7 @@ class QualityRules:
     max_word_distance: float = 0.11
     word_slack: float = 2.1
     reference_share: float = 0.01
+    reference_words: int = 5_000
 
 
 FEATURES = (
@@ -188,10 +191,25 @@ def _sum_histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def language_references(docs: DataFrame, share: float = 0.01) -> np.ndarray:
-    """One histogram per language that has ``share`` of all documents, summed over
-    all its documents: character classes, then common words. At most 1 / share rows
-    reach the driver."""
+@dataclass(frozen=True)
+class References:
+    """Histograms: of common languages, and of each rare language that has one."""
+
+    languages: list[str | None]
+    common: np.ndarray
+    rare: dict[str | None, np.ndarray]
+
+    def judged(self) -> Column:
+        """True for documents of a language with a reference."""
+        named = F.coalesce(F.col("lang").isin([x for x in self.languages if x is not None]), F.lit(False))
+        return named | F.col("lang").isNull() if None in self.languages else named
+
+
+def language_references(docs: DataFrame, share: float = 0.01, least_words: int = 5_000) -> References:
+    """One histogram per language that has ``least_words`` words, summed over all its
+    documents: character classes, then common words. Languages with ``share`` of all
+    documents are common. At most one row for each ``least_words`` words reaches the
+    driver."""
     sums = (
         docs.select("lang", "text")
         .mapInPandas(_sum_histograms, "lang string, place int, n long")
@@ -199,20 +217,39 @@ def language_references(docs: DataFrame, share: float = 0.01) -> np.ndarray:
         .agg(F.sum("n").alias("n"))
     )
     by_lang = sums.groupBy("lang").agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("counts")
+        F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("counts"),
+        F.sum(F.when(F.col("place") > CLASSES, F.col("n"))).alias("words"),
     )
     total = F.sum(F.element_at("counts", F.lit(0)))
-    sized = by_lang.crossJoin(F.broadcast(by_lang.agg(total.alias("total")))).filter(
-        F.element_at("counts", F.lit(0)) >= F.col("total") * share
-    )
+    sized = by_lang.crossJoin(F.broadcast(by_lang.agg(total.alias("total")))).filter(F.col("words") >= least_words)
+    is_common = F.element_at("counts", F.lit(0)) >= F.col("total") * share
     width = CLASSES + len(VOCABULARY) + 1
-    rows = sorted(((r["lang"] or "", r["counts"]) for r in sized.collect()), key=lambda r: r[0])
-    return np.array([[counts[i + 1] for i in range(width)] for _, counts in rows]).reshape(-1, width)
+    found = sized.select("lang", "counts", is_common.alias("common")).collect()
+    rows = sorted(found, key=lambda r: (r["lang"] or "", r["lang"] is not None))
+    histograms = [np.array([r["counts"][i + 1] for i in range(width)]) for r in rows]
+    return References(
+        [r["lang"] for r in rows],
+        np.array([h for r, h in zip(rows, histograms) if r["common"]]).reshape(-1, width),
+        {r["lang"]: h for r, h in zip(rows, histograms) if not r["common"]},
+    )
+
 
+def _distances(rows: np.ndarray, langs: np.ndarray, references: References, part: slice) -> np.ndarray:
+    """Distance of each row to the nearest reference of a common or its own language."""
+    common = references.common[:, part]
+    out = np.zeros(len(rows))
+    rare = np.array([lang in references.rare for lang in langs], dtype=bool)
+    out[~rare] = js_distance(rows[~rare], common)
+    for lang in set(langs[rare]):
+        own = rare & (langs == lang)
+        out[own] = js_distance(rows[own], np.vstack([common, references.rare[lang][None, part]]))
+    return out
 
-def _features(references: np.ndarray):
-    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+
+def _features(references: References):
+    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, own in batches:
+            langs = np.array([None if lang is None else str(lang) for lang in own], dtype=object)
             base, classes, commons = [], [], []
             for data in _encoded(texts):
                 numbers, ids = numbered(data.split())
@@ -226,9 +263,11 @@ def _features(references: np.ndarray):
                 commons.append(word_histogram(numbers, ids))
             names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
             out = pd.DataFrame(base, columns=names, dtype="int64")
-            out["class_distance"] = js_distance(np.array(classes).reshape(-1, CLASSES), references[:, :CLASSES])
-            out["word_distance"] = js_distance(
-                np.array(commons).reshape(-1, len(VOCABULARY) + 1), references[:, CLASSES:]
+            out["class_distance"] = _distances(
+                np.array(classes).reshape(-1, CLASSES), langs, references, slice(None, CLASSES)
+            )
+            out["word_distance"] = _distances(
+                np.array(commons).reshape(-1, len(VOCABULARY) + 1), langs, references, slice(CLASSES, None)
             )
             yield out
 
@@ -239,19 +278,20 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     """``docs`` (with ``text`` and ``lang``) and the columns ``ADDED``.
 
     Texts are judged whole. A null text counts as empty and fails the base rules; a
-    null ``lang`` is a language of its own. Same-named columns are replaced. Rows,
-    repeated ones too, are judged one by one; an empty table gives an empty result.
+    null ``lang`` is a language of its own. A language of too few words for a reference
+    is judged by the base rules only. Same-named columns are replaced. Rows, repeated
+    ones too, are judged one by one; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
-    references = language_references(docs, rules.reference_share)
+    references = language_references(docs, rules.reference_share, rules.reference_words)
     rest = [c for c in docs.columns if c not in ADDED]
-    measured = docs.select(*rest, _features(references)(F.col("text")).alias("_quality"))
+    measured = docs.select(*rest, _features(references)(F.col("text"), F.col("lang").cast("string")).alias("_quality"))
     q = F.col("_quality")
     failed = (q["n_words"] < rules.min_words) | (
         q["n_repeat_words"] * 100 > q["n_words"] * rules.max_repeat_percent
     )
     root = F.sqrt(F.greatest(q["n_words"], F.lit(1)))
-    near = (q["n_words"] < rules.guard_words) | (
+    near = (q["n_words"] < rules.guard_words) | ~references.judged() | (
         (q["class_distance"] <= rules.max_class_distance + rules.class_slack / root)
         & (q["word_distance"] <= rules.max_word_distance + rules.word_slack / root)
     )

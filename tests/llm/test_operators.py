@@ -100,6 +100,22 @@ def test_quality(spark):
     assert quality.quality_rules(docs.withColumn("lang", F.lit(None).cast("string"))).count() == len(rows)
 
 
+def test_quality_of_rare_languages(spark):
+    rng = random.Random(5)
+    common = "the of and to in house garden".split() + [noise(i, "abcdefg", 6) for i in range(300)]
+    rare = [noise(i, "абвгдежз", 6) for i in range(300)]
+    rows = [(i, " ".join(rng.choices(common, k=60)), "en") for i in range(2500)]
+    rows += [(7000 + i, " ".join(rng.choices(rare, k=300)), "ru") for i in range(20)]  # under 1 % of documents
+    rows += [(8000 + i, " ".join(rng.choices(rare, k=120)), "bg") for i in range(3)]  # few words: no reference
+    rows += [(9000, " ".join(f"#{k}$" for k in range(300)), "ru")]
+    docs = spark.createDataFrame(rows, f"{DOCS}, lang string")
+    kept = {r.doc_id: r.kept for r in quality.quality_rules(docs).select("doc_id", "kept").collect()}
+    assert [d for d in kept if d >= 7000 and not kept[d]] == [9000]
+    assert sum(kept[d] for d in kept if d < 7000) >= 2450
+    fewer = quality.quality_rules(docs.filter("doc_id >= 7000")).select("doc_id", "kept").collect()
+    assert all(kept[r.doc_id] == r.kept for r in fewer)
+
+
 def near_rows():
     rng, rows = random.Random(2), []
     vocabulary = [f"w{i}" for i in range(400)]
