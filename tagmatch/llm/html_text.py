@@ -26,7 +26,7 @@ from tagmatch.llm.ship import ship
 THRESHOLD = 0.25
 #: A container of content has this share of all content text.
 CONTAINER_SHARE = 0.2
-#: A block that is links to this share is a menu.
+#: A block outside article and main that is links to this share is a menu.
 LINK_SHARE = 0.6
 
 # Elements by what they do.
@@ -50,10 +50,22 @@ _CLOSES = {  # an element whose start ends open ones, and where the search for t
 }
 # Words in class, id and role of elements that are not content.
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|"
     r"modal|overlay|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|footer|header|masthead|"
     r"comments?|commentlist|disqus|repl(?:y|ies)|respond|share|sharing|social|related|recommended|newsletter|"
-    r"subscri\w*|sign-?up|log-?in|search|widget|skip|contentinfo|complementary|form)(?:$|[\s_-])",
+    r"subscri\w*|sign-?up|log-?in|search|widgets?|skip|contentinfo|complementary|form)",
+    re.I,
+)
+#: Names of what also stands on top of an article, with its title.
+_TOPS = frozenset(("header", "masthead", "banner"))
+# Parts that turn a name behind them into a trait, those that make a top
+# the article's own, and those behind a name that leave it what it is.
+_TRAITS = frozenset("with without no not has have is".split())
+_OWNED = frozenset("entry article post story page content section".split())
+_TAIL = re.compile(
+    r"(?:\d+(?:x\d+)?|left|right|top|bottom|primary|secondary|container|wrapper|wrap|inner|outer|box|area|section|block|"
+    r"lists?|items?|links?|bar|buttons?|icons?|posts?|articles|stories|slot|unit|content|widgets?|menu|form|title|"
+    r"text|message|thread|nav)",
     re.I,
 )
 _TAG = re.compile(
@@ -65,6 +77,23 @@ _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _MARKS = re.compile(r"[.,;:!?…。、，！？؟]")
 
 
+def _named_out(token: str, inside: bool) -> bool:
+    """True if a class, id or role names something that is not content. A name counts
+    whole, as the last part, or with parts behind it that leave it what it is: not the
+    header of an entry, nor a layout with a sidebar."""
+    parts = [p for p in re.split(r"[_-]+", token.lower()) if p]
+    for first in range(len(parts)):
+        if parts[first] in _TRAITS:
+            return False
+        for last in range(first + 1, min(first + 2, len(parts)) + 1):
+            name = "-".join(parts[first:last])
+            if not _NAMES.fullmatch(name) or not all(map(_TAIL.fullmatch, parts[last:])):
+                continue
+            if name not in _TOPS or not (inside or _OWNED & set(parts[:first])):
+                return True
+    return False
+
+
 @dataclass
 class Block:
     path: tuple[str, ...]
@@ -74,8 +103,18 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page in their order. A tag that the page's end cuts off is dropped."""
+    """The blocks of a page in their order. A tag that the page's end cuts off is dropped.
+
+    An element that holds main, or all articles of the page, is not boilerplate."""
+    found, spared = _parsed(page, frozenset())
+    return _parsed(page, spared)[0] if spared else found
+
+
+def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """The blocks, and the places of elements that look like boilerplate but are not."""
     stack: list[tuple[str, bool]] = []  # open elements, and whether one of them is boilerplate
+    marks: list[int] = []  # for each open element, its place if it is boilerplate itself, or -1
+    around: dict[str, list[set[int]]] = {"article": [], "main": []}
     found: list[Block] = []
     parts: list[str] = []
     link = 0
@@ -94,6 +133,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal links
         links -= sum(name == "a" for name, _ in stack[depth:])
         del stack[depth:]
+        del marks[depth:]
 
     def add(text: str) -> None:
         nonlocal link
@@ -136,17 +176,23 @@ def blocks(page: str) -> list[Block]:
                         break
                 elif open_name in stops or (not ends and open_name in _BLOCK):
                     break
-        out = bool(stack) and stack[-1][1]
-        if not out:
-            inside = any(n in _MAIN for n, _ in stack)
-            out = name in _BOILERPLATE or (name == "header" and not inside)
-            if not out and name not in ("html", "body", *_MAIN) and "=" in m["rest"]:
-                out = any(_NAMES.search(" ".join(filter(None, a.groups()))) for a in _ATTRIBUTE.finditer(m["rest"]))
-        stack.append((name, out))
+        inside = any(n in _MAIN for n, _ in stack)
+        own = name in _BOILERPLATE or (name == "header" and not inside)
+        if not own and name not in ("html", "body", *_MAIN) and "=" in m["rest"]:
+            tokens = " ".join(filter(None, (g for a in _ATTRIBUTE.finditer(m["rest"]) for g in a.groups()))).split()
+            own = any(_named_out(token, inside) for token in tokens)
+        own = own and m.start() not in spared
+        if name in _MAIN:
+            around[name].append({place for place in marks if place >= 0})
+        stack.append((name, own or (bool(stack) and stack[-1][1])))
+        marks.append(m.start() if own else -1)
         links += name == "a"
     add(page[last:])
     flush()
-    return found
+    holders = set().union(*around["main"])
+    if all(a - holders for a in around["article"]):
+        holders.update(*around["article"])
+    return found, frozenset(holders)
 
 
 def _ratios(page: list[Block]) -> dict[tuple[str, ...], float]:
@@ -165,7 +211,9 @@ def _ratios(page: list[Block]) -> dict[tuple[str, ...], float]:
 
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line feeds."""
-    usable = [b for b in blocks(page or "") if not b.out and b.link <= LINK_SHARE * len(b.text)]
+    usable = [
+        b for b in blocks(page or "") if not b.out and (_MAIN & set(b.path) or b.link <= LINK_SHARE * len(b.text))
+    ]
     if not usable:
         return ""
     ratio = _ratios(usable)

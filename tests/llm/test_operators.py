@@ -252,6 +252,21 @@ def test_html_text(spark):
     assert html_text.extract(rows.limit(0)).count() == 0
 
 
+TITLED = "<h1><a href='/a'>A linked headline</a></h1><p>First line, of some length, of the text.</p>"
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "container no-sidebar", "post has-comments", "search-results", "sidebar"])
+def test_html_text_keeps_what_is_in_an_article(name):
+    want = "A linked headline\n\nFirst line, of some length, of the text."
+    menu = "<ul><li><a href='/m'>menu</a></li></ul><div class='sidebar-left'><p>Beside it, a box.</p></div>"
+    assert html_text.main_text(f"<body>{menu}<div class='{name}'><article>{TITLED}</article></div></body>") == want
+    for head in ("header class='entry-header'", "div class='article-header'"):
+        titled = TITLED.replace("<h1>", f"<{head}><h1>").replace("</h1>", f"</h1></{head.split()[0]}>")
+        assert html_text.main_text(f"<body>{menu}<article>{titled}</article></body>") == want
+    out = "<div class='related-posts'><p>Another, quite long story, with marks.</p></div><div id='comments'><p>Nice, nice.</p></div>"
+    assert html_text.main_text(f"<body><article>{TITLED}{out}</article></body>") == want
+
+
 def test_sharding(spark):
     rows = [(1, "same text")] * 1000 + [(i, f"t{i}" * (i % 9)) for i in range(300)] + AWKWARD
     got = sharding.shard(frame(spark, rows, "slot"), columns=["text", "slot"]).collect()
