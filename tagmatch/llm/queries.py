@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagmatch.llm import (
+    conversations,
     decontaminate,
+    hard_negatives,
     html_text,
     line_dedup,
     near_dup,
@@ -18,6 +20,7 @@ from tagmatch.llm import (
     repeats,
     sharding,
     toxicity,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +107,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", noisy)
+    mined = hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.with_digests(conversations.repair(conversations.damaged(rows)))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    joined = every.join(repaired, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    return joined.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in (*conversations.COUNTS, "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_records(warc.write_archives(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
@@ -115,6 +144,44 @@ QUERIES: dict[str, Query] = {
     "op8_shards": op8_shards,
     "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversations": op12_conversations,
+    "op13_warc": op13_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id,
+                CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+            row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+                row_number() OVER (
+                    PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS place,
+                max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+            FROM pages)
+        SELECT page_id, payload_bytes,
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (1 + (('0x' || substr(hex, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) % 32)::INT,
+                1)), '') AS payload_digest,
+            CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN place > 1 THEN first_id END AS refers_to
+        FROM p""",
+}
