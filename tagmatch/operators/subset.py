@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmatch.operators.interactions import distinct_items, sample_interactions, seeded_draw
-from tagmatch.plans.skew import Scale, semi_join
+from tagmatch.plans.bloom import bloom_filter, filter_bits, may_hold
+from tagmatch.plans.selection import smallest
+from tagmatch.plans.skew import Scale, semi_join, text_bytes
 from tagmatch.sources import files
 from tagmatch.sources.shared import stored
 
 KEY_BYTES = 16
 
+#: With fewer bits for a key, a Bloom filter lets about one in six other keys pass.
+FEW_BITS = 4
+
 
 class Subset(NamedTuple):
     interactions: DataFrame
@@ -41,28 +46,42 @@ def subset_users(
 ) -> DataFrame:
     """(user_id) of at most ``max_users`` active users: the target, if active, and
     the others in id order. With a target, its place is kept even if it is not.
-    The first ones are found as a top-k, so ``max_users`` should fit in one task."""
-    active = active_users(users, min_reviews).select("user_id").distinct()
+
+    The last id is found by counting, so that any number may be asked for: nothing is
+    sorted, and the chosen rows stay in the tasks that read them. Ids are whole numbers.
+    """
+    active = stored(active_users(users, min_reviews).select("user_id").distinct(), "active")
     if target_user is None:
-        return active.orderBy("user_id").limit(max_users)
+        return smallest(active, "user_id", max_users)
     target = active.filter(F.col("user_id") == F.lit(target_user))
     others = active.filter(F.col("user_id") != F.lit(target_user))
-    return target.unionByName(others.orderBy("user_id").limit(max_users - 1))
+    return target.unionByName(smallest(others, "user_id", max_users - 1))
 
 
-def subset_by_keys(
-    rows: DataFrame, keys: DataFrame, key: str, max_keys: int | None = None, scale: Scale = Scale()
-) -> DataFrame:
-    """Rows whose key is among ``keys``, columns in their order. The keys are
-    broadcast if ``max_keys``, a bound the caller vouches for, proves them small."""
-    keys = keys.select(key)
-    if max_keys is not None and max_keys * KEY_BYTES <= scale.broadcast_bytes:
-        kept = rows.join(F.broadcast(keys.distinct()), key, "left_semi")
+def subset_by_keys(rows: DataFrame, keys: DataFrame, key: str, scale: Scale = Scale()) -> DataFrame:
+    """Rows whose key is among ``keys``, columns in their order.
+
+    The distinct keys are stored and measured. Small ones are broadcast. Others make a Bloom
+    filter of ``Scale.filter_bits`` at most, which leaves out most other rows before the two
+    sides are shuffled; the join then leaves out what the filter let pass wrongly. The
+    filter is skipped where so many keys would leave less than FEW_BITS for each.
+    """
+    wanted = stored(keys.select(key).filter(F.col(key).isNotNull()).distinct(), "keys")
+    size = wanted.agg(text_bytes().alias("bytes"), F.count(F.lit(1)).alias("keys")).first()
+    if max(size["bytes"], size["keys"] * KEY_BYTES) <= scale.broadcast_bytes:
+        kept = rows.join(F.broadcast(wanted), key, "left_semi")
     else:
-        kept = semi_join(rows, keys, key, scale)
+        kept = semi_join(_likely(rows, wanted, key, size["keys"], scale), wanted, key, scale)
     return kept.select(rows.columns)
 
 
+def _likely(rows: DataFrame, wanted: DataFrame, key: str, number: int, scale: Scale) -> DataFrame:
+    bits = filter_bits(number, scale.filter_bits)
+    if bits < number * FEW_BITS:
+        return rows
+    return rows.filter(may_hold(F.col(key), bloom_filter(wanted, key, bits), bits))
+
+
 def _of_keys(table: DataFrame, keys: DataFrame, key: str, scale: Scale) -> DataFrame:
     """Rows of a table with few rows per key, whose key is among distinct stored keys.
     The keys are broadcast if they are measured to be small."""
@@ -95,7 +114,7 @@ def build_subset(
     if fraction < 1.0:
         liked = sample_interactions(liked, fraction, seed, sample_by or liked.columns)
     chosen = stored(subset_users(users, min_reviews, max_users, target_user), "chosen")
-    kept = stored(subset_by_keys(liked, chosen, "user_id", max_users, scale), "kept")
+    kept = stored(subset_by_keys(liked, chosen, "user_id", scale), "kept")
     app_ids = stored(distinct_items(kept), "app-ids")
     return Subset(
         kept,

@@ -3,8 +3,10 @@
 Every join of the package goes one of two ways. A table whose measured size is
 under ``Scale.broadcast_bytes`` is broadcast. Any other table is joined on its
 key plus a salt, where only hot keys get more than one salt. A key is hot when it
-alone holds more than ``Scale.hot_share`` of all rows, so there are never more
-than ``1 / hot_share`` hot keys, and that list may always be broadcast.
+alone holds more than ``Scale.hot_share`` of all rows, or more than
+``Scale.partition_share`` of the rows of an average shuffle partition. So there are
+never more than the greater of ``1 / hot_share`` and ``partitions / partition_share``
+hot keys, and that list may always be broadcast.
 """
 
 from __future__ import annotations
@@ -20,24 +22,29 @@ class Scale:
     """Size rules for joins and groupings.
 
     broadcast_bytes: largest measured table that is broadcast; 0 turns it off.
-    hot_share, hot_rows: a key is hot when its rows exceed both this share of
-        all rows and this number. The share bounds how many keys can be hot, the
-        row count keeps small inputs from being split for nothing.
+    hot_share, partition_share, hot_rows: a key is hot when its rows exceed the number
+        and, besides, either this share of all rows or this share of an average
+        shuffle partition. The shares bound how many keys can be hot, the row count
+        keeps small inputs from being split for nothing.
     salts: pieces a hot key is split into.
     page_ids: item ids per page of a user's item list.
     word_pages: pages of a user's tag profile, whatever the data.
+    filter_bits: bits of a Bloom filter at most, which goes to every task.
     """
 
     broadcast_bytes: int = 32 * 1024 * 1024
     hot_share: float = 1e-4
+    partition_share: float = 0.5
     hot_rows: int = 1_000_000
     salts: int = 64
     page_ids: int = 1_000_000
     word_pages: int = 4
+    filter_bits: int = 64 * 1024 * 1024
 
-    def is_hot(self, rows: Column, all_rows: Column) -> Column:
-        share = all_rows.cast("double") * F.lit(self.hot_share)
-        return rows > F.greatest(F.lit(float(self.hot_rows)), share)
+    def hot_limit(self, all_rows: int, partitions: int) -> float:
+        """Rows above which a key is hot."""
+        share = min(self.hot_share, self.partition_share / max(partitions, 1))
+        return max(self.hot_rows, share * all_rows)
 
 
 def text_bytes() -> Column:
@@ -49,12 +56,13 @@ def hot_keys(rows: DataFrame, key: str, scale: Scale) -> DataFrame | None:
     """Keys that hold more than their share of the rows, None if there are none.
 
     Runs one job that returns two numbers. Only if some key is hot, a second one
-    lists the hot keys on the driver, which is safe because there are at most
-    1 / hot_share. Plans without hot keys thus stay as simple as without the rule.
+    lists the hot keys on the driver, which is safe because their number is bounded.
+    Plans without hot keys thus stay as simple as without the rule.
     """
     per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
     seen = per_key.agg(F.sum("key_rows").alias("all"), F.max("key_rows").alias("most")).first()
-    limit = max(scale.hot_rows, scale.hot_share * (seen["all"] or 0))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = scale.hot_limit(seen["all"] or 0, partitions)
     if (seen["most"] or 0) <= limit:
         return None
     found = per_key.filter(F.col("key_rows") > limit).select(key).collect()

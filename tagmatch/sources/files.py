@@ -13,9 +13,12 @@ from tagmatch.sources import schemas
 FORMATS = ("csv", "json")
 MALFORMED = ("fail", "keep")
 
-# Fixed value: what stands for NULL in written CSV. Written text has its backslashes
-# doubled, so no text looks like it.
+# Fixed value: what stands for NULL in written CSV. Written text has no backslash of its
+# own, so no text looks like it.
 NULL_MARK = "\\N"
+# Characters of text that are written as a percent sign and two digits. The
+# percent sign is one of them and comes first, so that each one in a file starts a code.
+CODES = {"%": "%25", "\\": "%5C", "\0": "%00", "\n": "%0A", "\r": "%0D"}
 CORRUPT = "_corrupt_record"
 
 _CSV = {
@@ -27,18 +30,18 @@ _CSV = {
 
 
 def _escaped(text: Column) -> Column:
-    """Text on one line: backslash, line feed and carriage return as two letters."""
-    for plain, coded in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
-        text = F.replace(text, F.lit(plain), F.lit(coded))
+    """Text without line breaks, backslashes and NUL, which are written as codes."""
+    for plain, code in CODES.items():
+        text = F.replace(text, F.lit(plain), F.lit(code))
     return text
 
 
 def _unescaped(text: Column) -> Column:
-    """The text before ``_escaped``; doubled backslashes are set apart first."""
-    apart = F.lit("\0")
-    text = F.replace(text, F.lit("\\\\"), apart)
-    text = F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-    return F.replace(text, apart, F.lit("\\"))
+    """The text before ``_escaped``. No code overlaps another, and the percent sign comes
+    back last, so nothing that a step puts in is taken for a code by a later one."""
+    for plain, code in reversed(CODES.items()):
+        text = F.replace(text, F.lit(code), F.lit(plain))
+    return text
 
 
 def _each_text(df: DataFrame, change) -> DataFrame:
@@ -94,8 +97,9 @@ def read_users(spark: SparkSession, path: str, **options) -> DataFrame:
 def write_table(df: DataFrame, path: str, format: str = "csv", mode: str = "overwrite") -> None:
     """Write a folder of part files, one per partition. CSV cannot hold arrays.
 
-    In CSV, line breaks and backslashes of text are escaped and NULL has a mark, so that
-    a read with ``escaped`` gives every value back and files can still be split.
+    In CSV, line breaks, backslashes, percent signs and NUL in text are written as codes and
+    NULL has a mark, so that a read with ``escaped`` gives every value back and files can
+    still be split.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")

@@ -1,6 +1,7 @@
 """Operators on small inputs: tags, items, samples, subsets, files, vectors."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,13 +132,14 @@ def test_pick_user_ignores_layout(users):
 @pytest.mark.parametrize(
     "scale", [Scale(), Scale(hot_rows=0, hot_share=1e-9), Scale(hot_rows=2, hot_share=0.0)]
 )
-@pytest.mark.parametrize("bound", [None, 10])
-def test_subset_by_keys(spark, scale, bound):
+@pytest.mark.parametrize("small", [True, False])
+def test_subset_by_keys(spark, scale, small):
+    scale = scale if small else replace(scale, broadcast_bytes=0)
     rows = spark.createDataFrame(
         [("a", 1), ("b", 1), ("b", 1), ("c", 2), ("d", 3), ("e", None)], "v string, k int"
     )
     keys = spark.createDataFrame([(1,), (1,), (3,), (9,), (None,)], "k int")
-    kept = subset_by_keys(rows, keys, "k", bound, scale)
+    kept = subset_by_keys(rows, keys, "k", scale)
     assert kept.columns == ["v", "k"]
     assert sorted(r.v for r in kept.collect()) == ["a", "b", "b", "d"]
 
@@ -223,6 +225,7 @@ def test_csv_modes_and_bad_keys(spark, tmp_path):
 def test_csv_gives_every_value_back(spark, tmp_path):
     path = str(tmp_path / "items")
     titles = ["a\nb", "\r\n", "  x\t ", "", None, '"q", "', "\\n", "\\", "\\\\n\n", "\\N", "a,b", "'"]
+    titles += ["\0", "\\0", "%00", "%2500\0", "%", "%%", "%0A", "%25", "%5CN", "\0\\\0\n\r%", "%\n25"]
     rows = [(3_000_000_000 + i, title) for i, title in enumerate(titles)]
     schema = "app_id BIGINT NOT NULL, title STRING"
     files.write_table(spark.createDataFrame(rows, schema).repartition(2), path)
