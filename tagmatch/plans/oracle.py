@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tagmatch.operators.catalog import NUM_FEATURES
 from tagmatch.plans.queries import (
+    FEW_FEATURES,
     MAX_USERS,
     MIN_REVIEWS,
     NEAREST_VECTORS,
@@ -125,6 +127,64 @@ _TABLES |= {
         ORDER BY round(smoothed_sim, 12) DESC, user_id LIMIT 3""",
 }
 
+# Murmur3 of 32 bits, seed 42, over the UTF-8 bytes of each word.
+_LOW = 2**32
+
+
+def _mixed(block: str) -> str:
+    """SQL for the mixing of four bytes, or of the rest, before they enter the hash."""
+    times = f"((({block})::HUGEINT * 3432918353) % {_LOW})::BIGINT"
+    turned = f"list_transform([{times}], lambda x: (x * 32768) % {_LOW} + (x >> 17))[1]"
+    return f"((({turned})::HUGEINT * 461845907) % {_LOW})::BIGINT"
+
+
+def _little_endian(start: str, count: int) -> str:
+    """SQL for some bytes as a number, from the 1-based place of their hex digits."""
+    return "('0x' || " + " || ".join(f"substr(hx, {start} + {2 * i}, 2)" for i in reversed(range(count))) + ")::BIGINT"
+
+
+_TABLES |= {
+    "word_bytes": """
+        SELECT word, hex(encode(word)) AS hx, octet_length(encode(word)) AS n
+        FROM (SELECT DISTINCT word FROM item_words)""",
+    "word_blocks": f"""
+        SELECT word, n, list_transform(range(n // 4), lambda i: {_mixed(_little_endian("(8 * i + 1)::INT", 4))}) AS blocks,
+               CASE n % 4 WHEN 0 THEN 0
+                   {" ".join(f"WHEN {t} THEN {_mixed(_little_endian('(8 * (n // 4) + 1)::INT', t))}" for t in (1, 2, 3))}
+               END AS rest
+        FROM word_bytes""",
+    "word_hash_1": f"""
+        SELECT word, xor(xor(list_reduce(blocks, lambda h, k:
+                   (((xor(h, k) * 8192) % {_LOW} + (xor(h, k) >> 19)) * 5 + 3864292196) % {_LOW}, 42::BIGINT), rest), n) AS h
+        FROM word_blocks""",
+    "word_hash_2": f"SELECT word, ((xor(h, h >> 16)::HUGEINT * 2246822507) % {_LOW})::BIGINT AS h FROM word_hash_1",
+    "word_hash_3": f"SELECT word, ((xor(h, h >> 13)::HUGEINT * 3266489909) % {_LOW})::BIGINT AS h FROM word_hash_2",
+    "word_hash": f"""
+        SELECT word, xor(h, h >> 16) - CASE WHEN xor(h, h >> 16) >= {_LOW // 2} THEN {_LOW} ELSE 0 END AS h
+        FROM word_hash_3""",
+    "buckets": f"""
+        SELECT word, (h % {NUM_FEATURES} + {NUM_FEATURES}) % {NUM_FEATURES} AS bucket,
+               (h % {FEW_FEATURES} + {FEW_FEATURES}) % {FEW_FEATURES} AS few_bucket
+        FROM word_hash""",
+    "hashed_counts": """
+        SELECT user_id, bucket, sum(word_count)::BIGINT AS word_count
+        FROM counts JOIN buckets USING (word) GROUP BY user_id, bucket""",
+    "few_counts": """
+        SELECT user_id, few_bucket, sum(word_count)::BIGINT AS word_count
+        FROM counts JOIN buckets USING (word) GROUP BY user_id, few_bucket""",
+    "active": f"SELECT user_id FROM users WHERE reviews >= {MIN_REVIEWS} AND user_id IS NOT NULL",
+    "many_dots": """
+        SELECT t.user_id AS target_user, o.user_id, sum(t.w * o.w) AS dot
+        FROM weights t JOIN weights o USING (word)
+        WHERE t.user_id <> o.user_id AND t.user_id IN (SELECT user_id FROM active) GROUP BY ALL""",
+    "many_sims": """
+        SELECT t.user_id AS target_user, o.user_id,
+               CASE WHEN t.norm * o.norm = 0 OR dot IS NULL THEN 0 ELSE dot / (t.norm * o.norm) END AS sim
+        FROM norms t JOIN norms o ON t.user_id <> o.user_id
+        LEFT JOIN many_dots d ON d.target_user = t.user_id AND d.user_id = o.user_id
+        WHERE t.user_id IN (SELECT user_id FROM active)""",
+}
+
 _INTERACTION_COLUMNS = """
     app_id, CAST(helpful AS BIGINT) AS helpful, funny, date,
     CAST(is_recommended AS BIGINT) AS is_recommended, round(hours, 6) AS hours, user_id, review_id"""
@@ -159,9 +219,11 @@ _SELECTS: dict[str, str] = {
                               review_id + {WIDE_KEY} AS review_id) FROM interactions)""",
     "scan_items": f"""
         SELECT app_id + {WIDE_KEY} AS app_id,
-               CASE p_size % 7 WHEN 0 THEN title || chr(10) || 'second line' || chr(13)
+               CASE p_size % 9 WHEN 0 THEN title || chr(10) || 'second line' || chr(13)
                     WHEN 1 THEN '"' || title || '", "' WHEN 2 THEN title || '\\n\\'
                     WHEN 3 THEN '  ' || title || chr(9) || ' ' WHEN 4 THEN '' WHEN 5 THEN NULL
+                    WHEN 6 THEN chr(0) || title || '\\0%00' || chr(0) || '\\' || chr(0)
+                    WHEN 7 THEN title || '%0A%25\\N%'
                     ELSE title END AS title,
                '2000-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') AS date_release,
                CAST(1 AS BIGINT) AS win, CAST(p_size % 2 = 0 AS BIGINT) AS mac,
@@ -225,8 +287,21 @@ _SELECTS: dict[str, str] = {
     "tfidf": "SELECT user_id, word, round(w, 6) AS tfidf FROM weights",
     "target_profile": f"""
         SELECT word, round(w, 6) AS tfidf FROM weights WHERE user_id = {TARGET_USER}""",
-    "hashed_tf": "SELECT user_id, word_count FROM counts",
-    "hashed_tfidf": "SELECT user_id, round(smoothed_w, 6) AS tfidf FROM weights",
+    "hashed_tf": "SELECT user_id, bucket, word_count FROM hashed_counts",
+    "hashed_vectors": f"""
+        SELECT user_id, {FEW_FEATURES}::BIGINT AS size, string_agg(few_bucket, ',' ORDER BY few_bucket) AS indices,
+               string_agg(word_count, ',' ORDER BY few_bucket) AS counts
+        FROM few_counts GROUP BY user_id""",
+    "hashed_tfidf": """
+        SELECT user_id, bucket, round(word_count * ln((users + 1) / (df + 1)), 6) AS tfidf
+        FROM hashed_counts CROSS JOIN n
+        JOIN (SELECT bucket, count(*) AS df FROM hashed_counts GROUP BY bucket) USING (bucket)""",
+    "hashed_tfidf_kept": """
+        SELECT user_id, bucket, round(word_count * ln((known + 1) / (coalesce(df, 0) + 1)), 6) AS tfidf
+        FROM hashed_counts
+        CROSS JOIN (SELECT count(DISTINCT user_id) AS known FROM counts WHERE user_id IN (SELECT user_id FROM active))
+        LEFT JOIN (SELECT bucket, count(*) AS df FROM hashed_counts
+                   WHERE user_id IN (SELECT user_id FROM active) GROUP BY bucket) USING (bucket)""",
     "user_norms": "SELECT user_id, round(norm, 6) AS norm FROM norms",
     "dot_products": "SELECT user_id, round(dot, 6) AS dot_product FROM dots",
     "cosine_similarity": "SELECT user_id, round(sim, 6) AS cosine_similarity FROM sims",
@@ -235,6 +310,11 @@ _SELECTS: dict[str, str] = {
     "similar_users_top3": "SELECT user_id, round(sim, 6) AS cosine_similarity FROM near",
     "similar_users_positive_top3": """
         SELECT user_id, round(sim, 6) AS cosine_similarity FROM near_positive""",
+    "similar_users_stored": "SELECT user_id, round(sim, 6) AS cosine_similarity FROM near",
+    "similar_users_many": """
+        SELECT target_user, user_id, round(sim, 6) AS cosine_similarity,
+               row_number() OVER (PARTITION BY target_user ORDER BY round(sim, 12) DESC, user_id) AS rank
+        FROM many_sims QUALIFY rank <= 3""",
     "vector_cosine_topk": f"""
         SELECT vec_id, round(sim, 6) AS cosine_similarity FROM (
             SELECT o.vec_id, CASE WHEN o.norm * t.norm = 0 THEN 0

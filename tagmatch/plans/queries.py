@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagmatch.operators import catalog as cat
+from tagmatch.operators import hashing
 from tagmatch.operators import interactions as inter
+from tagmatch.operators import neighbours as near
 from tagmatch.operators import profiles as prof
 from tagmatch.operators import recommend as rec
 from tagmatch.operators import similarity as sim
+from tagmatch.operators import store
 from tagmatch.operators import subset as sub
 from tagmatch.operators import weights as wgt
 from tagmatch.plans.recommendation import recommend_hashed, recommend_tagged, recommend_titled
@@ -29,6 +32,7 @@ NEAREST_VECTORS = 10
 MIN_REVIEWS = 40
 MAX_USERS = 25
 WIDE_KEY = 3_000_000_000
+FEW_FEATURES = 64
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,8 +63,15 @@ def _profiles(spark: SparkSession, sf_dir: str, scope: str = "titled") -> prof.P
     return prof.Profiles(_liked(spark, sf_dir), _catalog(spark, sf_dir, scope))
 
 
-def _hashed_profiles(spark: SparkSession, sf_dir: str) -> prof.Profiles:
-    return prof.Profiles(_liked(spark, sf_dir), cat.hash_catalog(_catalog(spark, sf_dir)))
+def _hashed_profiles(
+    spark: SparkSession, sf_dir: str, num_features: int = cat.NUM_FEATURES
+) -> prof.Profiles:
+    catalog = cat.hash_catalog(_catalog(spark, sf_dir), num_features)
+    return prof.Profiles(_liked(spark, sf_dir), catalog)
+
+
+def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.active_users(testdata.users(spark, sf_dir), MIN_REVIEWS).select("user_id")
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -95,7 +106,7 @@ def scan_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "items")
-    odd = F.col("positive_ratio") % 7
+    odd = F.col("positive_ratio") % 9
     title = (
         F.when(odd == 0, F.concat("title", F.lit("\nsecond line\r")))
         .when(odd == 1, F.concat(F.lit('"'), "title", F.lit('", "')))
@@ -103,6 +114,8 @@ def scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(odd == 3, F.concat(F.lit("  "), "title", F.lit("\t ")))
         .when(odd == 4, F.lit(""))
         .when(odd == 5, F.lit(None).cast("string"))
+        .when(odd == 6, F.concat(F.lit("\0"), "title", F.lit("\\0%00\0\\\0")))
+        .when(odd == 7, F.concat("title", F.lit("%0A%25\\N%")))
         .otherwise(F.col("title"))
     )
     rows = _wide(testdata.items(spark, sf_dir), "app_id").withColumn("title", title)
@@ -280,12 +293,38 @@ def target_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.user_term_counts(_hashed_profiles(spark, sf_dir)).select(
-        _key("user_id"), _key("word_count")
+        _key("user_id"), F.col("word").cast("bigint").alias("bucket"), _key("word_count")
+    )
+
+
+def hashed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few features, so that words share buckets."""
+    counts = prof.user_term_counts(_hashed_profiles(spark, sf_dir, FEW_FEATURES))
+    vector = F.unwrap_udt("features")
+    return hashing.hashed_vectors(counts, num_features=FEW_FEATURES).select(
+        _key("user_id"),
+        vector["size"].cast("bigint").alias("size"),
+        F.array_join(vector["indices"].cast("array<string>"), ",").alias("indices"),
+        F.array_join(vector["values"].cast("array<bigint>").cast("array<string>"), ",").alias("counts"),
     )
 
 
+def _weighed(rows: DataFrame) -> DataFrame:
+    return rows.select(_key("user_id"), F.col("word").cast("bigint").alias("bucket"), _real("tfidf"))
+
+
 def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wgt.count_idf(_hashed_profiles(spark, sf_dir)).select(_key("user_id"), _real("tfidf"))
+    return _weighed(wgt.count_idf(_hashed_profiles(spark, sf_dir)))
+
+
+def hashed_tfidf_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All users by a model of the active ones, which is kept in files and read again."""
+    catalog, liked = cat.hash_catalog(_catalog(spark, sf_dir)), _liked(spark, sf_dir)
+    known = sub.subset_by_keys(liked, _active(spark, sf_dir), "user_id")
+    folder = shared_folder(spark, "idf-model")
+    hashing.IdfModel.fit(prof.Profiles(known, catalog)).save(folder)
+    model = hashing.IdfModel.load(spark, folder)
+    return _weighed(model.weigh(prof.user_term_counts(prof.Profiles(liked, catalog))))
 
 
 # Similarity
@@ -325,6 +364,21 @@ def similar_users_positive_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sim.most_similar(similarities).select(_key("user_id"), _real("cosine_similarity"))
 
 
+def similar_users_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As similar_users_top3, from profiles that are stored once."""
+    kept = store.store_profiles(_profiles(spark, sf_dir))
+    similarities = store.stored_similarity(kept, TARGET_USER)
+    return sim.most_similar(similarities).select(_key("user_id"), _real("cosine_similarity"))
+
+
+def similar_users_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three nearest users of every active user."""
+    kept = store.store_profiles(_profiles(spark, sf_dir))
+    return near.nearest_users(kept, _active(spark, sf_dir)).select(
+        _key("target_user"), _key("rank"), _key("user_id"), _real("cosine_similarity")
+    )
+
+
 def vector_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     nearest = sim.vector_cosine_topk(
         testdata.embeddings(spark, sf_dir), TARGET_VECTOR, NEAREST_VECTORS
@@ -432,13 +486,17 @@ QUERIES: dict[str, Query] = {
     "tfidf": tfidf,
     "target_profile": target_profile,
     "hashed_tf": hashed_tf,
+    "hashed_vectors": hashed_vectors,
     "hashed_tfidf": hashed_tfidf,
+    "hashed_tfidf_kept": hashed_tfidf_kept,
     "user_norms": user_norms,
     "dot_products": dot_products,
     "cosine_similarity": cosine_similarity,
     "cosine_similarity_hashed": cosine_similarity_hashed,
     "similar_users_top3": similar_users_top3,
     "similar_users_positive_top3": similar_users_positive_top3,
+    "similar_users_stored": similar_users_stored,
+    "similar_users_many": similar_users_many,
     "vector_cosine_topk": vector_cosine_topk,
     "unseen_items": unseen_items,
     "recommend_titled": titled,

@@ -1,0 +1,84 @@
+"""Hashed vectors and kept idf models against Spark's own HashingTF and IDF."""
+
+import pytest
+from pyspark.ml.feature import IDF, HashingTF
+from pyspark.sql import functions as F
+
+from tagmatch import Profiles, Scale, hash_catalog, item_catalog, positive_interactions
+from tagmatch.operators.hashing import IdfModel, hashed_vectors
+from tagmatch.operators.profiles import user_term_counts
+from tagmatch.operators.weights import count_idf
+from tests import worked
+
+LIKED = [(1, 10), (1, 11), (2, 11), (2, 11), (3, 12), (4, 13), (4, 10), (5, 14)]
+TAGS = {10: ["Action", "Free To Play"], 11: ["RPG", "action", "é"], 12: ["x, y"], 13: ["", "Action"], 14: ["only one"]}
+
+
+def tables(spark):
+    liked = spark.createDataFrame(LIKED, "user_id long, app_id long")
+    items = spark.createDataFrame([(i, f"t{i}") for i in TAGS], "app_id long, title string")
+    tags = spark.createDataFrame(list(TAGS.items()), "app_id long, tags array<string>")
+    return liked, item_catalog(items, tags)
+
+
+def by_spark_ml(spark, features):
+    """{user: vector} of HashingTF over each user's bag of words, and the same times IDF."""
+    liked, catalog = tables(spark)
+    bags = liked.join(catalog, "app_id").groupBy("user_id").agg(F.flatten(F.collect_list("words")).alias("words"))
+    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(bags)
+    weighed = IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted).collect()
+    return {r.user_id: r.tf for r in weighed}, {r.user_id: r.tfidf for r in weighed}
+
+
+@pytest.mark.parametrize("features", [20_000, 5, 1])
+@pytest.mark.parametrize("scale", [Scale(), Scale(broadcast_bytes=0)])
+def test_vectors_equal_those_of_spark_ml(spark, features, scale):
+    liked, catalog = tables(spark)
+    counts, weights = by_spark_ml(spark, features)
+    if features == 5:  # words share buckets
+        assert any(len(v.indices) < len({w for u, i in LIKED if u == user for w in TAGS[i]}) for user, v in counts.items())
+    profiles = Profiles(liked, hash_catalog(catalog, features), scale)
+    found = hashed_vectors(user_term_counts(profiles), num_features=features).collect()
+    assert {r.user_id: r.features for r in found} == counts
+    weighed = hashed_vectors(count_idf(profiles), "tfidf", features)
+    assert_close({r.user_id: r.features for r in weighed.collect()}, weights)
+    by_model = IdfModel.fit(profiles).weigh(user_term_counts(profiles))
+    assert_close({r.user_id: r.features for r in hashed_vectors(by_model, "tfidf", features).collect()}, weights)
+
+
+def assert_close(got, want):
+    assert got.keys() == want.keys()
+    for user, vector in got.items():
+        assert list(vector.indices) == list(want[user].indices) and vector.size == want[user].size
+        assert vector.values == pytest.approx(want[user].values, abs=1e-12)
+
+
+@pytest.mark.parametrize("scale", [Scale(), Scale(broadcast_bytes=0), Scale(broadcast_bytes=0, hot_rows=1, salts=3)])
+def test_a_kept_model_weighs_new_users_as_spark_ml_does(spark, tmp_path, scale):
+    features = 7
+    liked, catalog = tables(spark)
+    hashed = hash_catalog(catalog, features)
+    old = Profiles(liked.filter("user_id <= 2"), hashed, scale)
+    model = IdfModel.fit(old)
+    model.save(str(tmp_path))
+    kept = IdfModel.load(spark, str(tmp_path), scale)
+    assert (kept.users, kept.kind) == (2, "smoothed")
+
+    everyone = Profiles(liked, hashed, scale)
+    found = hashed_vectors(kept.weigh(user_term_counts(everyone)), "tfidf", features).collect()
+    bags = liked.join(catalog, "app_id").groupBy("user_id").agg(F.flatten(F.collect_list("words")).alias("words"))
+    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(bags)
+    fitted = IDF(inputCol="tf", outputCol="tfidf").fit(counted.filter("user_id <= 2")).transform(counted)
+    assert_close({r.user_id: r.features for r in found}, {r.user_id: r.tfidf for r in fitted.collect()})
+
+
+def test_words_that_a_plain_model_has_not_seen_weigh_nothing(spark):
+    interactions, items, item_tags = worked.tables(spark)
+    profiles = Profiles(positive_interactions(interactions), item_catalog(items, item_tags))
+    model = IdfModel.fit(profiles, "plain")
+    rows = spark.createDataFrame([(1, "action", 2), (1, "new", 3)], "user_id long, word string, word_count long")
+    weights = {r.word: r.tfidf for r in model.weigh(rows).collect()}
+    assert weights == {"action": pytest.approx(2 * 0.223144, abs=1e-5), "new": 0.0}
+    assert {r.word: round(r.idf, 6) for r in model.idf().collect()}["puzzle"] == 1.609438
+    with pytest.raises(ValueError):
+        IdfModel.fit(profiles, "other")
