@@ -28,13 +28,18 @@ FORMS = {
 }
 _TOKEN = r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++"
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-#: What a token of no known form must hold to become an identifier of a kind.
+#: What a token of no known form must hold to become an identifier of a kind. Quantifiers
+#: of groups give nothing back, as others recurse once per repetition.
 _LOOKS = {
-    "email": r"^[^@]+@[^@]+$",
-    "ip": r"^[0-9A-Fa-f]+(?:[.:]+[0-9A-Fa-f]+){3,}$",
-    "card": r"^(?:[^0-9]*[0-9]){8,}[^0-9]*$",
-    "phone": r"^(?:[^0-9A-Za-z]*[0-9]){6,}[^0-9A-Za-z]*$",
+    "email": r"\A[^@]++@[^@]++\z",
+    "ip": r"\A[0-9A-Fa-f]++(?:[.:]++[0-9A-Fa-f]++){3,}+\z",
+    "card": r"\A(?:[^0-9]*+[0-9]){8,}+[^0-9]*+\z",
+    "phone": r"\A(?:[^0-9A-Za-z]*+[0-9]){6,}+[^0-9A-Za-z]*+\z",
 }
+#: Marks at the ends of a token or a word. The second ones are looked for only where a run
+#: of marks starts, so that the search is linear.
+_LEADING, _TRAILING = r"\A[^A-Za-z0-9+]++", r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++\z"
+_WORD_ENDS = r"\A[^\p{L}0=:]++|(?<![^\p{L}0=:])[^\p{L}0=:]++\z"
 
 DOC = ["doc_id", "text_hash"]
 ADDED = (*(f"n_{k}" for k in KINDS), "base_spans", "spans")
@@ -47,34 +52,51 @@ BROADCAST_ROWS = 500_000
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """Rounds of scoring, and what a pattern needs to name new identifiers."""
+    """Rounds of scoring, and what a pattern needs to name new identifiers.
+
+    An instance counts for the support of a pattern from ``min_score`` on.
+    """
 
     rounds: int = 3
     min_seeds: int = 3
+    min_score: float = 0.5
     min_confidence: float = 0.8
     damping: float = 0.9
 
 
 def _found(kind: int, form: str, context: bool) -> Column:
     """(kind, i, gap, found, before, after) of each match: the characters since the last
-    one, the match, and for tokens the text around it."""
+    one, the match, and for tokens the two words before it and the one after it."""
     text = F.col("text")
     pieces, matches = F.split(text, form, -1), F.regexp_extract_all(text, F.lit(form), F.lit(0))
     none = F.lit(None).cast("string")
     zipped = F.arrays_zip(
-        matches.alias("found"), pieces.alias("piece"), F.slice(pieces, F.lit(2), F.size(matches) + 1).alias("next")
+        matches.alias("found"),
+        pieces.alias("piece"),
+        F.slice(pieces, F.lit(2), F.size(matches) + 1).alias("next"),
+        F.concat(F.array(none), matches).alias("last"),
     )
 
     def row(z: Column, i: Column) -> Column:
+        # Words between two tokens may be one or none; then the token before is a word.
+        words = F.split(F.concat(F.coalesce(z["last"], F.lit("")), z["piece"]), r"\s++")
+        words = F.filter(words, lambda word: word != "")
         return F.struct(
             F.lit(kind).alias("kind"),
             i.alias("i"),
             F.length(z["piece"]).cast("long").alias("gap"),
             z["found"].alias("found"),
-            (F.right(z["piece"], F.lit(120)) if context else none).alias("before"),
-            (F.left(z["next"], F.lit(60)) if context else none).alias("after"),
+            (F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)) if context else none).alias("before"),
+            (F.regexp_extract(z["next"], r"\A\s*+(\S++)", 1) if context else none).alias("after"),
         )
 
+    if not context:
+        empty = F.lit(None).cast("array<string>")
+
+        def bare(z: Column, i: Column) -> Column:
+            return row(z, i).withField("before", empty)
+
+        return F.transform(zipped, bare)
     return F.transform(zipped, row)
 
 
@@ -119,25 +141,33 @@ def _valid() -> Column:
 def _word(word: Column) -> Column:
     """A context word: lower case, digits as 0, without marks at its ends."""
     plain = F.regexp_replace(F.lower(word), "[0-9]", "0")
-    return F.regexp_replace(plain, r"^[^\p{L}0=:]+|[^\p{L}0=:]+$", "")
+    return F.regexp_replace(plain, _WORD_ENDS, "")
 
 
 def _patterns() -> Column:
     """The patterns of a token: the two words before it, and the words on both sides."""
-    before = F.split(F.trim(F.regexp_replace("before", r"\s+", " ")), " ")
-    after = F.split(F.trim(F.regexp_replace("after", r"\s+", " ")), " ")
-    l1, l2 = _word(F.get(before, F.size(before) - 1)), _word(F.get(before, F.size(before) - 2))
-    r1 = _word(F.get(after, F.lit(0)))
+    size = F.size("before")
+    l1, l2 = _word(F.get("before", size - 1)), _word(F.get("before", size - 2))
+    r1 = _word(F.col("after"))
     left = F.when(F.length(l2) * F.length(l1) > 0, F.concat(F.lit("2 "), l2, F.lit(" "), l1))
     both = F.when(F.length(l1) * F.length(r1) > 0, F.concat(F.lit("1 "), l1, F.lit(" _ "), r1))
     return F.array_compact(F.array(left, both))
 
 
+def _looks() -> Column:
+    """Whether ``token`` looks like an identifier of ``kind``."""
+    looks = F.lit(False)
+    for n, k in enumerate(KINDS):
+        looks = F.when(F.col("kind") == n, F.col("token").rlike(_LOOKS[k])).otherwise(looks)
+    return looks
+
+
 def _discovered(matches: DataFrame, base: DataFrame, settings: Bootstrap) -> DataFrame:
     """(document, kind, start, end) of tokens that confident patterns name, outside all
     base spans."""
-    core = F.regexp_extract("found", r"^[^A-Za-z0-9+]*(.*?)[^A-Za-z0-9]*$", 1)
-    lead = F.length(F.regexp_extract("found", r"^([^A-Za-z0-9+]*)", 1))
+    led = F.regexp_replace("found", _LEADING, "")
+    core = F.regexp_replace(led, _TRAILING, "")
+    lead = F.length("found") - F.length(led)
     tokens = stored(
         matches.filter(F.col("kind") == len(KINDS))
         .select(*DOC, (F.col("start") + lead).alias("start"), core.alias("token"), "end", _patterns().alias("patterns"))
@@ -175,33 +205,29 @@ def _discovered(matches: DataFrame, base: DataFrame, settings: Bootstrap) -> Dat
         "edges",
     )
     totals = stored(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "pattern-totals")
-    support = (
-        edges.join(seeds, "token").groupBy("pattern", "kind")
-        .agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= settings.min_seeds)
-    )
-    support = stored(support.join(totals, "pattern"), "supported")
-    live = stored(edges.join(support.select("pattern", "kind", "total"), "pattern"), "live-edges")
-    known = seeds.withColumn("score", F.lit(1.0))
-    confident = None
+    seeds = seeds.withColumn("score", F.lit(1.0))
+    known, sure = seeds, None
     for _ in range(settings.rounds):
-        weighed = live.join(known, ["token", "kind"]).groupBy("pattern", "kind").agg(
-            (F.sum(F.col("n") * F.col("score")) / F.first("total")).alias("confidence")
+        # Patterns are supported anew by all instances known by now, learned ones included.
+        weighed = (
+            edges.join(known.filter(F.col("score") >= settings.min_score), "token")
+            .groupBy("pattern", "kind")
+            .agg(F.count(F.lit(1)).alias("instances"), F.sum(F.col("n") * F.col("score")).alias("weight"))
+            .filter(F.col("instances") >= settings.min_seeds)
         )
-        confident = stored(weighed, "confidence")
+        confidence = (F.col("weight") / F.col("total")).alias("confidence")
+        confident = stored(weighed.join(totals, "pattern").select("pattern", "kind", confidence), "confidence")
+        sure = confident.filter(F.col("confidence") >= settings.min_confidence).select("pattern", "kind")
         doubt = F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(1.0)) * settings.damping)))
-        learned = live.join(confident, ["pattern", "kind"]).groupBy("token", "kind").agg((1 - doubt).alias("score"))
+        learned = (
+            edges.join(confident, "pattern").filter(_looks()).groupBy("token", "kind").agg((1 - doubt).alias("score"))
+        )
         known = stored(
-            seeds.withColumn("score", F.lit(1.0)).unionByName(learned)
-            .groupBy("token", "kind").agg(F.max("score").alias("score")),
-            "known",
+            seeds.unionByName(learned).groupBy("token", "kind").agg(F.max("score").alias("score")), "known"
         )
-    sure = confident.filter(F.col("confidence") >= settings.min_confidence).select("pattern", "kind")
-    looks = F.lit(False)
-    for n, k in enumerate(KINDS):
-        looks = F.when(F.col("kind") == n, F.col("token").rlike(_LOOKS[k])).otherwise(looks)
     named = (
         tokens.select(*DOC, "start", "end", "token", F.explode("patterns").alias("pattern"))
-        .join(sure, "pattern").filter(looks)
+        .join(sure, "pattern").filter(_looks())
         .groupBy(*DOC, "start", "end").agg(F.min("kind").alias("kind"))
     )
     return named.join(known_spans, old, "left_anti").select(*DOC, "kind", "start", "end")
