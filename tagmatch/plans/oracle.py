@@ -8,6 +8,7 @@ from tagmatch.plans.queries import (
     MAX_USERS,
     MIN_REVIEWS,
     NEAREST_VECTORS,
+    TARGETS_BY,
     TARGET_USER,
     TARGET_VECTOR,
     WIDE_KEY,
@@ -173,16 +174,16 @@ _TABLES |= {
         SELECT user_id, few_bucket, sum(word_count)::BIGINT AS word_count
         FROM counts JOIN buckets USING (word) GROUP BY user_id, few_bucket""",
     "active": f"SELECT user_id FROM users WHERE reviews >= {MIN_REVIEWS} AND user_id IS NOT NULL",
-    "many_dots": """
+    "many_dots": f"""
         SELECT t.user_id AS target_user, o.user_id, sum(t.w * o.w) AS dot
         FROM weights t JOIN weights o USING (word)
-        WHERE t.user_id <> o.user_id AND t.user_id IN (SELECT user_id FROM active) GROUP BY ALL""",
-    "many_sims": """
+        WHERE t.user_id <> o.user_id AND t.user_id % {TARGETS_BY} = 0 GROUP BY ALL""",
+    "many_sims": f"""
         SELECT t.user_id AS target_user, o.user_id,
                CASE WHEN t.norm * o.norm = 0 OR dot IS NULL THEN 0 ELSE dot / (t.norm * o.norm) END AS sim
         FROM norms t JOIN norms o ON t.user_id <> o.user_id
         LEFT JOIN many_dots d ON d.target_user = t.user_id AND d.user_id = o.user_id
-        WHERE t.user_id IN (SELECT user_id FROM active)""",
+        WHERE t.user_id % {TARGETS_BY} = 0""",
 }
 
 _INTERACTION_COLUMNS = """
