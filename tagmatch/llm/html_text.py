@@ -4,8 +4,12 @@ A page is cut into blocks, each with its path of block elements from the root. P
 path, text length outside links and punctuation are summed and divided by the number
 of blocks. The two ratios are fused, smoothed along the page, and paths above a
 threshold are content. What stands beside content in the same container, such as a
-heading, belongs to it; menus, notices, forms and the like are out by their elements
-and names.
+heading, belongs to it. Menus, forms and the like are out by their elements; names in
+class, id or role lower the ratio of what they stand for, so that a page whose article is
+misnamed still has its text.
+
+Reading a page takes time in proportion to its length, however it is malformed: tags are
+scanned once, and open elements are found by their names.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +32,8 @@ THRESHOLD = 0.25
 CONTAINER_SHARE = 0.2
 #: A block outside article and main that is links to this share is a menu.
 LINK_SHARE = 0.6
+#: A name that is not that of content lowers a ratio to this share.
+NAMED_SHARE = 0.1
 
 # Elements by what they do.
 _RAW = "script|style|noscript|template|textarea|title|iframe|svg|canvas|object|select|math"
@@ -68,12 +74,10 @@ _TAIL = re.compile(
     r"text|message|thread|nav)",
     re.I,
 )
-_TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
-    re.I | re.S,
-)
-_ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_RAW_TAG = re.compile(rf"(?:{_RAW})(?![^\s/>])", re.I)
+_QUOTE = re.compile(r"=\s*+([\"'])|>")
+_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _MARKS = re.compile(r"[.,;:!?…。、，！？؟]")
 
 
@@ -94,155 +98,306 @@ def _named_out(token: str, inside: bool) -> bool:
     return False
 
 
-@dataclass
-class Block:
-    path: tuple[str, ...]
+class Block(NamedTuple):
+    """A block's place among the paths of its page, its text, how much of that is links,
+    and whether it is boilerplate by its elements or by a name."""
+
+    path: int
     text: str
     link: int
     out: bool
+    named: bool
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in their order. A tag that the page's end cuts off is dropped.
-
-    An element that holds main, or all articles of the page, is not boilerplate."""
-    found, spared = _parsed(page, frozenset())
-    return _parsed(page, spared)[0] if spared else found
-
-
-def _parsed(page: str, spared: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
-    """The blocks, and the places of elements that look like boilerplate but are not."""
-    stack: list[tuple[str, bool]] = []  # open elements, and whether one of them is boilerplate
-    marks: list[int] = []  # for each open element, its place if it is boilerplate itself, or -1
-    around: dict[str, list[set[int]]] = {"article": [], "main": []}
-    found: list[Block] = []
-    parts: list[str] = []
-    link = 0
-    links = 0  # open <a>
-
-    def flush() -> None:
-        nonlocal link
-        text = " ".join(html.unescape("".join(parts)).split())
-        if text:
-            path = tuple(name for name, _ in stack if name in _BLOCK)
-            found.append(Block(path, text, link, bool(stack) and stack[-1][1]))
-        parts.clear()
-        link = 0
-
-    def pop_to(depth: int) -> None:
-        nonlocal links
-        links -= sum(name == "a" for name, _ in stack[depth:])
-        del stack[depth:]
-        del marks[depth:]
-
-    def add(text: str) -> None:
-        nonlocal link
-        parts.append(text)
-        if links:
-            link += len(text.strip())
-
-    last = 0
-    for m in _TAG.finditer(page):
-        if m.start() > last:
-            add(page[last : m.start()])
-        last = m.end()
-        name = m["name"]
-        if name is None:
-            if m["raw"]:
-                parts.append(" ")
-            continue
-        name = name.lower()
-        if name in _BLOCK:
-            flush()
-        elif name == "br":
-            parts.append(" ")
-        if m["close"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    pop_to(depth)
-                    break
-                if stack[depth][0] in ("article", "body", "table") and name not in _BLOCK:
-                    break
+class Page(NamedTuple):
+    """Blocks in order, and the paths: the parent, the name and whether it is in article or
+    main of each. A path comes after its parent; path 0 is the root."""
+
+    blocks: list[Block]
+    parents: list[int]
+    names: list[str]
+    in_main: list[bool]
+
+
+class _Tag(NamedTuple):
+    start: int
+    end: int
+    name: str
+    close: bool
+    rest: str
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Place behind the tag whose attributes start at a place: its > outside quotes. A quote
+    that is not closed where a value can end is a plain character."""
+    while True:
+        m = _QUOTE.search(page, at)
+        if m is None:
+            return len(page)
+        if m[0] == ">":
+            return m.end()
+        closing = page.find(m[1], m.end())
+        if closing >= 0 and (closing + 1 == len(page) or page[closing + 1] in " \t\n\f\r/>"):
+            at = closing + 1
+        else:
+            at = m.end()
+
+
+def _tags(page: str) -> Iterator[_Tag]:
+    """Tags in order. Comments, declarations and raw elements come with an empty name; what
+    the page's end cuts off is part of the last one."""
+    at = 0
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            closing = page.find("-->", start + 4)
+            at = len(page) if closing < 0 else closing + 3
+            yield _Tag(start, at, "", False, "")
             continue
-        if name in _VOID:
+        close = page.startswith("/", start + 1)
+        name = _NAME.match(page, start + 1 + close)
+        if name is None:
+            at = start + 1
+            if page[at : at + 1] in ("!", "?", "/"):
+                closing = page.find(">", at)
+                at = len(page) if closing < 0 else closing + 1
+                yield _Tag(start, at, "", False, "")
             continue
+        end = at = _tag_end(page, name.end())
+        rest = page[name.end() : end]
+        if not close and _RAW_TAG.fullmatch(name[0]) and not rest.endswith("/>"):
+            closing = re.compile(rf"</{name[0]}(?![^\s/>])", re.I).search(page, end)
+            at = len(page) if closing is None else _tag_end(page, closing.end())
+            yield _Tag(start, at, "", False, "raw")
+        else:
+            yield _Tag(start, end, name[0].lower(), close, rest)
+
+
+class _Open(NamedTuple):
+    """An open element; marked is its place if it is boilerplate itself, or -1."""
+
+    name: str
+    path: int
+    out: bool
+    named: bool
+    marked: int
+    mains: int
+    articles: int
+
+
+class _Reader:
+    """Open elements and what was read so far."""
+
+    def __init__(self, page: str, spared: frozenset[int]) -> None:
+        self.page, self.spared = page, spared
+        self.stack: list[_Open] = []
+        self.places: dict[str, list[int]] = {}  # where in the stack elements of a name are
+        self.blocks_open: list[int] = []  # the same of block elements other than p
+        self.borders: list[int] = []  # the same of elements that end inline ones
+        self.paths: dict[tuple[int, str], int] = {}
+        self.parents, self.names, self.in_main = [-1], [""], [False]
+        self.found: list[Block] = []
+        self.parts: list[str] = []
+        self.link = 0
+        self.mains = self.articles = 0
+        #: Boilerplate elements that hold main, and those that hold articles, with the
+        #: numbers of these.
+        self.hold_main: set[int] = set()
+        self.hold_articles: list[tuple[int, int, int]] = []
+
+    def read(self) -> None:
+        last = 0
+        for tag in _tags(self.page):
+            if tag.start > last:
+                self.add(self.page[last : tag.start])
+            last = tag.end
+            if not tag.name:
+                if tag.rest:
+                    self.parts.append(" ")
+                continue
+            if tag.name in _BLOCK:
+                self.flush()
+            elif tag.name == "br":
+                self.parts.append(" ")
+            if tag.close:
+                self.close(tag.name)
+            elif tag.name not in _VOID:
+                self.open(tag)
+        self.add(self.page[last:])
+        self.flush()
+        self.pop_to(0)
+
+    def add(self, text: str) -> None:
+        self.parts.append(text)
+        if self.places.get("a"):
+            self.link += len(text.strip())
+
+    def flush(self) -> None:
+        text = " ".join(html.unescape("".join(self.parts)).split())
+        if text:
+            top = self.stack[-1] if self.stack else _Open("", 0, False, False, -1, 0, 0)
+            self.found.append(Block(top.path, text, self.link, top.out, top.named))
+        self.parts.clear()
+        self.link = 0
+
+    def pop_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            element = self.stack.pop()
+            at = len(self.stack)
+            for places in (self.places[element.name], self.blocks_open, self.borders):
+                if places and places[-1] == at:
+                    places.pop()
+            if element.marked >= 0:
+                if self.mains > element.mains:
+                    self.hold_main.add(element.marked)
+                elif self.articles > element.articles:
+                    self.hold_articles.append((element.articles, self.articles, element.marked))
+
+    def last(self, names: tuple[str, ...]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def close(self, name: str) -> None:
+        """End the last open element of the name; inline ones only back to a border."""
+        depth = self.last((name,))
+        if depth >= 0 and (name in _BLOCK or not self.borders or depth > self.borders[-1] or name == self.stack[self.borders[-1]].name):
+            self.pop_to(depth)
+
+    def open(self, tag: _Tag) -> None:
+        name = tag.name
         if name in _BLOCK:
             ends, stops = _CLOSES.get(name, ((), ()))
-            for depth in range(len(stack) - 1, -1, -1):
-                open_name = stack[depth][0]
-                if open_name == "p" or open_name in ends:
-                    pop_to(depth)
-                    if open_name in ends:
-                        break
-                elif open_name in stops or (not ends and open_name in _BLOCK):
-                    break
-        inside = any(n in _MAIN for n, _ in stack)
-        own = name in _BOILERPLATE or (name == "header" and not inside)
-        if not own and name not in ("html", "body", *_MAIN) and "=" in m["rest"]:
-            tokens = " ".join(filter(None, (g for a in _ATTRIBUTE.finditer(m["rest"]) for g in a.groups()))).split()
-            own = any(_named_out(token, inside) for token in tokens)
-        own = own and m.start() not in spared
-        if name in _MAIN:
-            around[name].append({place for place in marks if place >= 0})
-        stack.append((name, own or (bool(stack) and stack[-1][1])))
-        marks.append(m.start() if own else -1)
-        links += name == "a"
-    add(page[last:])
-    flush()
-    holders = set().union(*around["main"])
-    if all(a - holders for a in around["article"]):
-        holders.update(*around["article"])
-    return found, frozenset(holders)
-
-
-def _ratios(page: list[Block]) -> dict[tuple[str, ...], float]:
+            stop = self.last(stops) if ends else (self.blocks_open[-1] if self.blocks_open else -1)
+            for wanted in (self.last(ends), self.last(("p",))):
+                if wanted > stop:
+                    self.pop_to(wanted)
+        top = self.stack[-1] if self.stack else _Open("", 0, False, False, -1, 0, 0)
+        inside = self.in_main[top.path]
+        out = name in _BOILERPLATE or (name == "header" and not inside)
+        named = False
+        if not out and name not in ("html", "body", *_MAIN) and "=" in tag.rest:
+            values = (g for a in _ATTRIBUTE.finditer(tag.rest) for g in a.groups() if g)
+            named = any(_named_out(token, inside) for token in " ".join(values).split())
+        marked = tag.start if (out or named) and tag.start not in self.spared else -1
+        path = self.path(top.path, name) if name in _BLOCK else top.path
+        at = len(self.stack)
+        self.stack.append(
+            _Open(
+                name, path, top.out or (out and marked >= 0), top.named or (named and marked >= 0), marked, self.mains, self.articles
+            )
+        )
+        self.places.setdefault(name, []).append(at)
+        if name in _BLOCK and name != "p":
+            self.blocks_open.append(at)
+        if name in ("article", "body", "table"):
+            self.borders.append(at)
+        self.mains += name == "main"
+        self.articles += name == "article"
+
+    def path(self, parent: int, name: str) -> int:
+        number = self.paths.setdefault((parent, name), len(self.names))
+        if number == len(self.names):
+            self.parents.append(parent)
+            self.names.append(name)
+            self.in_main.append(self.in_main[parent] or name in _MAIN)
+        return number
+
+    def holders(self) -> frozenset[int]:
+        """Boilerplate elements that hold main, or all articles of the page."""
+        covered, upto = 0, 0
+        for start, end, _ in sorted(self.hold_articles):
+            covered += max(0, end - max(start, upto))
+            upto = max(upto, end)
+        around = {place for *_, place in self.hold_articles} if covered == self.articles else set()
+        return frozenset(self.hold_main | around)
+
+
+def parsed(page: str) -> Page:
+    """The blocks of a page and their paths. An element that holds main, or all articles of
+    the page, is not boilerplate."""
+    reader = _Reader(page, frozenset())
+    reader.read()
+    if spared := reader.holders():
+        reader = _Reader(page, spared)
+        reader.read()
+    return Page(reader.found, reader.parents, reader.names, reader.in_main)
+
+
+def blocks(page: str) -> list[Block]:
+    """The blocks of a page in their order. A tag that the page's end cuts off is dropped."""
+    return parsed(page).blocks
+
+
+#: Blocks of one path are apart if a name stands against some of them.
+_Key = tuple[int, bool]
+
+
+def _ratios(usable: list[Block], page: Page) -> dict[_Key, float]:
     """Each path's fused ratio: text per block, raised by punctuation per block."""
-    sums: dict[tuple[str, ...], list[int]] = {}
-    for b in page:
-        s = sums.setdefault(b.path, [0, 0, 0])
+    sums: dict[_Key, list[int]] = {}
+    for b in usable:
+        s = sums.setdefault((b.path, b.named), [0, 0, 0])
         s[0] += 1
         s[1] += max(0, len(b.text) - b.link)
         s[2] += len(_MARKS.findall(b.text))
     return {
-        path: text / n * math.log(math.e + marks / n) * (2 if _MAIN & set(path) else 1)
-        for path, (n, text, marks) in sums.items()
+        (path, named): text / n * math.log(math.e + marks / n) * (2 if page.in_main[path] else 1)
+        for (path, named), (n, text, marks) in sums.items()
     }
 
 
-def main_text(page: str | None) -> str:
+def _container_of(page: Page) -> list[int]:
+    """For each path the one whose other blocks go with it: the outermost article or main,
+    else a div, section or body as it is and the parent of anything else."""
+    found: list[int] = []
+    for path, (parent, name) in enumerate(zip(page.parents, page.names)):
+        if parent >= 0 and page.in_main[parent]:
+            found.append(found[parent])
+        elif page.in_main[path] or name in ("div", "section", "body") or parent < 0:
+            found.append(path)
+        else:
+            found.append(parent)
+    return found
+
+
+def main_text(html_text: str | None) -> str:
     """The article's blocks, joined by two line feeds."""
-    usable = [
-        b for b in blocks(page or "") if not b.out and (_MAIN & set(b.path) or b.link <= LINK_SHARE * len(b.text))
-    ]
+    page = parsed(html_text or "")
+    usable = [b for b in page.blocks if not b.out and (page.in_main[b.path] or b.link <= LINK_SHARE * len(b.text))]
     if not usable:
         return ""
-    ratio = _ratios(usable)
-    raw = [ratio[b.path] for b in usable]
+    ratio = _ratios(usable, page)
+    raw = [ratio[b.path, b.named] for b in usable]
     smooth = [
         (raw[max(i - 1, 0)] + 2 * raw[i] + raw[min(i + 1, len(raw) - 1)]) / 4 for i in range(len(raw))
     ]
-    of_path: dict[tuple[str, ...], list[float]] = {}
+    of_path: dict[_Key, list[float]] = {}
     for b, value in zip(usable, smooth):
-        of_path.setdefault(b.path, []).append(value)
-    level = {path: sum(values) / len(values) for path, values in of_path.items()}
+        of_path.setdefault((b.path, b.named), []).append(value)
+    # What a name stands against gets nothing from its neighbours.
+    level = {
+        (path, named): ratio[path, named] * NAMED_SHARE if named else sum(values) / len(values)
+        for (path, named), values in of_path.items()
+    }
     most = max(level.values())
-    content = {path for path, value in level.items() if value >= THRESHOLD * most}
-
-    def container(path: tuple[str, ...]) -> tuple[str, ...]:
-        for n, name in enumerate(path):
-            if name in _MAIN:
-                return path[: n + 1]
-        return path[:-1] if path and path[-1] not in ("div", "section", "body") else path
+    content = {key for key, value in level.items() if value >= THRESHOLD * most}
 
-    text_in: dict[tuple[str, ...], int] = {}
+    container = _container_of(page)
+    text_in: dict[int, int] = {}
     for b in usable:
-        if b.path in content:
-            text_in[container(b.path)] = text_in.get(container(b.path), 0) + len(b.text)
+        if (b.path, b.named) in content:
+            text_in[container[b.path]] = text_in.get(container[b.path], 0) + len(b.text)
     total = sum(text_in.values())
-    containers = [c for c, size in text_in.items() if size >= CONTAINER_SHARE * total]
-    if any(_MAIN & set(c) for c in containers):
-        containers = [c for c in containers if _MAIN & set(c)]
-    return "\n\n".join(b.text for b in usable if any(b.path[: len(c)] == c for c in containers))
+    # Where text is spread over many containers and none has its share, all count.
+    chosen = [c for c, size in text_in.items() if size >= CONTAINER_SHARE * total] or list(text_in)
+    if any(page.in_main[c] for c in chosen):
+        chosen = [c for c in chosen if page.in_main[c]]
+    covered = [False] * len(page.parents)
+    for c in chosen:
+        covered[c] = True
+    for path, parent in enumerate(page.parents):
+        covered[path] = covered[path] or (parent >= 0 and covered[parent])
+    return "\n\n".join(
+        b.text for b in usable if covered[b.path] and (not b.named or (b.path, True) in content)
+    )
 
 
 def extract(pages: DataFrame) -> DataFrame:
