@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagmatch.llm.joins import with_document_facts
 from tagmatch.sources.shared import stored
 
 #: Words of a window; an item of fewer words is one window.
@@ -222,5 +223,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "item_ids",
         (F.col("n_hit") > 0).alias("contaminated"),
     )
-    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.xxhash64("text") == F.col("hash_"))
-    return docs.select(*rest).join(_maybe_broadcast(facts), same).select(*rest, *ADDED)
+    return with_document_facts(docs.select(*rest), _maybe_broadcast(facts)).select(*rest, *ADDED)

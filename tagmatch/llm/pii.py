@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagmatch.llm.joins import with_document_facts
 from tagmatch.sources.shared import stored
 
 # Kinds in their order, and the form of each. Quantifiers give nothing
@@ -264,7 +265,6 @@ def with_pii(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFrame:
     facts = found.select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("hash_"), F.col("base").alias("_base"), F.col("all").alias("_all"))
     if size <= BROADCAST_ROWS:
         facts = F.broadcast(facts)
-    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.xxhash64("text") == F.col("hash_"))
     names = F.array(*map(F.lit, KINDS))
     empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
 
@@ -274,7 +274,7 @@ def with_pii(docs: DataFrame, settings: Bootstrap = Bootstrap()) -> DataFrame:
         )
         return F.coalesce(spans, empty)
 
-    joined = docs.select(*rest).join(facts, same, "left")
+    joined = with_document_facts(docs.select(*rest), facts, "left")
 
     def number(n: int) -> Column:
         own = F.filter("_base", lambda s: s["kind"] == n)

@@ -1,10 +1,8 @@
 """What the bootstrap of personal data learns from contexts, however long or odd."""
 
-import pytest
-
 from tagmatch.llm import pii
 
-CALLS = [(i, f"you can call +1 (555) 555-{1000 + i} today") for i in range(30)]
+CALLS = [(i, f"you can call +1 (555) 555-{1000 + i} today") for i in range(300)]
 
 
 def found(spark, rows):
@@ -18,33 +16,28 @@ def found(spark, rows):
     return out
 
 
-@pytest.mark.parametrize("mark", ["7", ".", "(", "7.", "7 ", " ", "é", "+"])
-def test_very_long_tokens_behind_a_confident_pattern(spark, mark):
-    token = (mark * 100_000)[:100_000]
-    rows = [*CALLS, (100, f"you can call {token} today"), (101, f"you can call {token}9 today")]
-    rows.append((102, "you can call 555-9010 today"))
-    got = found(spark, rows)
-    assert got[102] == [("phone", "555-9010")]
-    assert not any(got[i] for i in range(30))
-    if mark == "7":
-        assert got[100] == [("phone", token)] and got[101] == [("phone", token + "9")]
-
-
-@pytest.mark.parametrize("gap", [" ", " " * 125, "\n" * 3000, " \t\r "])
-def test_context_is_counted_in_words(spark, gap):
-    got = found(spark, [*CALLS, (100, f"you can call{gap}555-9011{gap}today")])
-    assert got[100] == [("phone", "555-9011")]
-
-
-def test_very_long_words_around_a_token(spark):
-    rows = [*CALLS, (100, "x" * 200_000 + " can call 555-9011 " + "-" * 200_000)]
-    assert found(spark, rows)[100] == [("phone", "555-9011")]
-
-
-def test_line_separators_stay_in_a_token(spark):
-    rows = [*CALLS, (100, "you can call 555\u20289013 today"), (101, "you can call (555-9014\u2028 today")]
+def test_very_long_and_odd_contexts_and_tokens(spark):
+    """In one table, behind a pattern of many seeds."""
+    rows, want = list(CALLS), {}
+
+    def add(text, *extra):
+        rows.append((len(rows), text))
+        want[len(rows) - 1] = [("phone", token) for token in extra]
+
+    for mark in ("7", ".", "(", "7.", "7 ", " ", "é", "+", "-7"):
+        token = (mark * 100_000)[:100_000]
+        for text in (token, token + "9"):
+            rows.append((len(rows), f"you can call {text} today"))
+            if mark == "7":
+                want[len(rows) - 1] = [("phone", text)]
+    for gap in (" ", " " * 125, "\n" * 3000, " \t\r "):
+        add(f"you can call{gap}555-9011{gap}today", "555-9011")
+    add("x" * 200_000 + " can call 555-9012 " + "-" * 200_000, "555-9012")
+    add("you can call 555\u20289013 today", "555\u20289013")
+    add("you can call (555-9014\u2028 today", "555-9014")
     got = found(spark, rows)
-    assert got[100] == [("phone", "555\u20289013")] and got[101] == [("phone", "555-9014")]
+    assert all(got[i] == spans for i, spans in want.items())
+    assert not any(got[i] for i in range(len(CALLS)))
 
 
 def test_a_token_before_is_a_word_of_the_context(spark):
