@@ -150,6 +150,29 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_near_dup": """
+        WITH RECURSIVE w AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        s AS MATERIALIZED (
+            SELECT doc_id, list_sort(CASE WHEN len(words) = 0 THEN []
+                WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(len(words) - 3),
+                    lambda i: array_to_string(words[i + 1 : i + 4], ' '))) END) AS shingles
+            FROM w),
+        sets AS MATERIALIZED (
+            SELECT shingles, len(shingles) AS n, min(doc_id) AS one FROM s WHERE len(shingles) > 0 GROUP BY shingles),
+        held AS MATERIALIZED (SELECT one, n, unnest(shingles) AS shingle FROM sets),
+        links AS MATERIALIZED (
+            SELECT a.one AS a, b.one AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.one <> b.one
+            GROUP BY a.one, b.one, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT one, one AS other FROM sets UNION SELECT one, b FROM reach JOIN links ON other = a),
+        least AS (SELECT one, min(other) AS component_id FROM reach GROUP BY one)
+        SELECT doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+            doc_id = coalesce(component_id, doc_id) AS kept
+        FROM s LEFT JOIN sets ON s.shingles = sets.shingles LEFT JOIN least USING (one)""",
     "op11_hard_negatives": """
         WITH v AS (
             SELECT vec_id,
