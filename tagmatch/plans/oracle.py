@@ -184,6 +184,10 @@ _TABLES |= {
         FROM norms t JOIN norms o ON t.user_id <> o.user_id
         LEFT JOIN many_dots d ON d.target_user = t.user_id AND d.user_id = o.user_id
         WHERE t.user_id % {TARGETS_BY} = 0""",
+    "near_many": """
+        SELECT target_user, user_id, sim,
+               row_number() OVER (PARTITION BY target_user ORDER BY round(sim, 12) DESC, user_id) AS rank
+        FROM many_sims QUALIFY rank <= 3""",
 }
 
 _INTERACTION_COLUMNS = """
@@ -312,10 +316,7 @@ _SELECTS: dict[str, str] = {
     "similar_users_positive_top3": """
         SELECT user_id, round(sim, 6) AS cosine_similarity FROM near_positive""",
     "similar_users_stored": "SELECT user_id, round(sim, 6) AS cosine_similarity FROM near",
-    "similar_users_many": """
-        SELECT target_user, user_id, round(sim, 6) AS cosine_similarity,
-               row_number() OVER (PARTITION BY target_user ORDER BY round(sim, 12) DESC, user_id) AS rank
-        FROM many_sims QUALIFY rank <= 3""",
+    "similar_users_many": "SELECT target_user, rank, user_id, round(sim, 6) AS cosine_similarity FROM near_many",
     "vector_cosine_topk": f"""
         SELECT vec_id, round(sim, 6) AS cosine_similarity FROM (
             SELECT o.vec_id, CASE WHEN o.norm * t.norm = 0 THEN 0
@@ -331,6 +332,11 @@ _SELECTS: dict[str, str] = {
         SELECT app_id, user_id, count(*) AS times {_unseen("near")} GROUP BY app_id, user_id""",
     "recommend_titled": _LISTED.format(unseen=_unseen("near")),
     "recommend_tagged": _SETS.format(unseen=_unseen("near_positive", "_tagged") + " AND title IS NOT NULL"),
+    "recommend_many": """
+        SELECT target_user, app_id, title, array_to_string(list_sort(list(DISTINCT user_id)), ',') AS similar_user_ids
+        FROM near_many JOIN details d USING (user_id)
+        WHERE NOT EXISTS (SELECT 1 FROM details o WHERE o.user_id = target_user AND o.app_id = d.app_id)
+        GROUP BY target_user, app_id, title""",
     "recommend_hashed": _LISTED.format(unseen=_unseen("near_hashed")),
     "active_users": f"""
         SELECT user_id, products, reviews FROM users

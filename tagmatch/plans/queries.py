@@ -372,11 +372,15 @@ def similar_users_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sim.most_similar(similarities).select(_key("user_id"), _real("cosine_similarity"))
 
 
-def similar_users_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _many_neighbours(profiles: prof.Profiles) -> DataFrame:
     """The three nearest users, of all, of each user whose id is divisible by TARGETS_BY."""
-    kept = store.store_profiles(_profiles(spark, sf_dir))
+    kept = store.store_profiles(profiles)
     targets = kept.by_user.select("user_id").filter(F.col("user_id") % TARGETS_BY == 0)
-    return near.nearest_users(kept, targets).select(
+    return near.nearest_users(kept, targets)
+
+
+def similar_users_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _many_neighbours(_profiles(spark, sf_dir)).select(
         _key("target_user"), _key("rank"), _key("user_id"), _real("cosine_similarity")
     )
 
@@ -415,6 +419,12 @@ def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommended(recommend_hashed(*_inputs(spark, sf_dir), TARGET_USER))
 
 
+def recommend_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profiles = _profiles(spark, sf_dir)
+    found = rec.recommend_many(profiles, _many_neighbours(profiles), "set")
+    return found.select(_key("target_user"), _key("app_id"), "title", _joined("similar_user_ids"))
+
+
 # Subsets
 
 
@@ -504,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "recommend_titled": titled,
     "recommend_tagged": tagged,
     "recommend_hashed": hashed,
+    "recommend_many": recommend_many,
     "active_users": active_users,
     "pick_user": pick_user,
     "subset_users": subset_users,

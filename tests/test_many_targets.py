@@ -10,6 +10,7 @@ from tagmatch.operators.interactions import positive_interactions
 from tagmatch.operators.neighbours import nearest_users
 from tagmatch.operators.profiles import Profiles
 from tagmatch.operators.similarity import cosine_similarity, most_similar
+from tagmatch.operators.recommend import recommend_many
 from tagmatch.operators.store import open_profiles, store_profiles, stored_similarity
 from tagmatch.sources import testdata
 from tagmatch.sources.shared import shared_folder
@@ -97,6 +98,34 @@ def test_many_targets_equal_single_runs(spark, small_table):
         )
 
 
+@pytest.mark.parametrize("scale", [Scale(), Scale(broadcast_bytes=0, hot_rows=5, salts=3)])
+@pytest.mark.parametrize("users", ["counts", "set", "list"])
+def test_recommendations_of_many_targets(spark, sparse, scale, users):
+    liked, tags = sparse
+    profiles = profiles_of(spark, liked, tags, scale)
+    words = {item: brute_force.words_of(t) for item, t in tags.items()}
+    titles = {item: f"t{item}" for item in tags}
+    targets, pairs, want = (101, 115, 500, 5), [], {}
+    for target in targets:
+        chosen = brute_force.nearest(brute_force.similarities(liked, words, target))
+        pairs += [(target, user) for user in chosen]
+        for (item, title), names in brute_force.recommended(liked, words, titles, chosen, target).items():
+            want[target, item, title] = names
+    neighbours = spark.createDataFrame(pairs, "target_user long, user_id long")
+    got = {
+        (r.target_user, r.app_id, r.title): list(r.similar_user_ids)
+        for r in recommend_many(profiles, neighbours, users).collect()
+    }
+    assert got.keys() == want.keys() and got
+    for key, names in want.items():
+        if users == "list":
+            assert got[key] == names
+        elif users == "set":
+            assert got[key] == sorted(set(names))
+        else:
+            assert [tuple(h) for h in got[key]] == sorted((u, names.count(u)) for u in set(names))
+
+
 def test_pairs_are_dropped_before_they_are_exchanged(spark, small_table):
     """Far fewer rows than pairs of targets and users reach the ranking."""
     store = store_profiles(small_table)
