@@ -66,10 +66,12 @@ class QualityRules:
 
     A text of fewer than ``guard_words`` words is not judged by divergence: its
     histograms are noise. Noise falls with the root of the length, so a distance may
-    be ``max_..._distance + ..._slack / sqrt(words)``. ``reference_words``: a language
-    with this many words has a reference; with fewer, its documents are judged by the
-    base rules only. ``reference_share``: the reference of a language with this share of
-    all documents is there for the documents of all languages.
+    be ``max_..._distance + ..._slack / sqrt(words)``. A reference
+    of few documents may be odd as a whole, so ``reference_slack`` of the same slack over
+    the root of their number is added: verdicts change little by little, not at once, as a language grows. ``reference_share``: the
+    reference of a language with this share of all documents is there for the documents
+    of all languages. ``max_languages``: the languages of most documents, which have a
+    reference; documents of any further ones are judged by the base rules only.
     """
 
     min_words: int = 10
@@ -79,13 +81,14 @@ class QualityRules:
     class_slack: float = 1.0
     max_word_distance: float = 0.11
     word_slack: float = 2.1
+    reference_slack: float = 0.3
     reference_share: float = 0.01
-    reference_words: int = 5_000
+    max_languages: int = 10_000
 
 
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "class_distance double, word_distance double"
+    "class_distance double, word_distance double, reference_docs long"
 )
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance",
          "word_distance", "base_failed", "kept")
@@ -193,23 +196,17 @@ def _sum_histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass(frozen=True)
 class References:
-    """Histograms: of common languages, and of each rare language that has one."""
+    """Histograms: of common languages, and of each rare one; and the documents of each."""
 
-    languages: list[str | None]
+    docs: dict[str | None, int]
     common: np.ndarray
     rare: dict[str | None, np.ndarray]
 
-    def judged(self) -> Column:
-        """True for documents of a language with a reference."""
-        named = F.coalesce(F.col("lang").isin([x for x in self.languages if x is not None]), F.lit(False))
-        return named | F.col("lang").isNull() if None in self.languages else named
 
-
-def language_references(docs: DataFrame, share: float = 0.01, least_words: int = 5_000) -> References:
-    """One histogram per language that has ``least_words`` words, summed over all its
-    documents: character classes, then common words. Languages with ``share`` of all
-    documents are common. At most one row for each ``least_words`` words reaches the
-    driver."""
+def language_references(docs: DataFrame, share: float = 0.01, most: int = 10_000) -> References:
+    """One histogram per language, summed over all its documents: character classes, then
+    common words. Languages with ``share`` of all documents are common. Of more than
+    ``most`` languages, those of most documents count, so no more rows reach the driver."""
     sums = (
         docs.select("lang", "text")
         .mapInPandas(_sum_histograms, "lang string, place int, n long")
@@ -218,17 +215,17 @@ def language_references(docs: DataFrame, share: float = 0.01, least_words: int =
     )
     by_lang = sums.groupBy("lang").agg(
         F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("counts"),
-        F.sum(F.when(F.col("place") > CLASSES, F.col("n"))).alias("words"),
+        F.sum(F.when(F.col("place") == 0, F.col("n"))).alias("docs"),
     )
-    total = F.sum(F.element_at("counts", F.lit(0)))
-    sized = by_lang.crossJoin(F.broadcast(by_lang.agg(total.alias("total")))).filter(F.col("words") >= least_words)
-    is_common = F.element_at("counts", F.lit(0)) >= F.col("total") * share
+    sized = by_lang.crossJoin(F.broadcast(by_lang.agg(F.sum("docs").alias("total"))))
+    sized = sized.orderBy(F.col("docs").desc(), "lang").limit(most)
+    is_common = F.col("docs") >= F.col("total") * share
     width = CLASSES + len(VOCABULARY) + 1
-    found = sized.select("lang", "counts", is_common.alias("common")).collect()
+    found = sized.select("lang", "docs", "counts", is_common.alias("common")).collect()
     rows = sorted(found, key=lambda r: (r["lang"] or "", r["lang"] is not None))
     histograms = [np.array([r["counts"][i + 1] for i in range(width)]) for r in rows]
     return References(
-        [r["lang"] for r in rows],
+        {r["lang"]: r["docs"] for r in rows},
         np.array([h for r, h in zip(rows, histograms) if r["common"]]).reshape(-1, width),
         {r["lang"]: h for r, h in zip(rows, histograms) if not r["common"]},
     )
@@ -269,6 +266,7 @@ def _features(references: References):
             out["word_distance"] = _distances(
                 np.array(commons).reshape(-1, len(VOCABULARY) + 1), langs, references, slice(CLASSES, None)
             )
+            out["reference_docs"] = [references.docs.get(lang, 0) for lang in langs]
             yield out
 
     return F.pandas_udf(measure, FEATURES)
@@ -278,22 +276,23 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     """``docs`` (with ``text`` and ``lang``) and the columns ``ADDED``.
 
     Texts are judged whole. A null text counts as empty and fails the base rules; a
-    null ``lang`` is a language of its own. A language of too few words for a reference
-    is judged by the base rules only. Same-named columns are replaced. Rows, repeated
+    null ``lang`` is a language of its own. A language's reference holds the text that is
+    judged, so the only text of a language passes. Same-named columns are replaced. Rows, repeated
     ones too, are judged one by one; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
-    references = language_references(docs, rules.reference_share, rules.reference_words)
+    references = language_references(docs, rules.reference_share, rules.max_languages)
     rest = [c for c in docs.columns if c not in ADDED]
     measured = docs.select(*rest, _features(references)(F.col("text"), F.col("lang").cast("string")).alias("_quality"))
     q = F.col("_quality")
     failed = (q["n_words"] < rules.min_words) | (
         q["n_repeat_words"] * 100 > q["n_words"] * rules.max_repeat_percent
     )
-    root = F.sqrt(F.greatest(q["n_words"], F.lit(1)))
-    near = (q["n_words"] < rules.guard_words) | ~references.judged() | (
-        (q["class_distance"] <= rules.max_class_distance + rules.class_slack / root)
-        & (q["word_distance"] <= rules.max_word_distance + rules.word_slack / root)
+    noise = 1 / F.sqrt(F.greatest(q["n_words"], F.lit(1)))
+    noise += rules.reference_slack / F.sqrt(F.greatest(q["reference_docs"], F.lit(1)))
+    near = (q["n_words"] < rules.guard_words) | (q["reference_docs"] == 0) | (
+        (q["class_distance"] <= rules.max_class_distance + rules.class_slack * noise)
+        & (q["word_distance"] <= rules.max_word_distance + rules.word_slack * noise)
     )
     return measured.select(
         *rest,

@@ -106,7 +106,7 @@ def test_quality_of_rare_languages(spark):
     rare = [noise(i, "абвгдежз", 6) for i in range(300)]
     rows = [(i, " ".join(rng.choices(common, k=60)), "en") for i in range(2500)]
     rows += [(7000 + i, " ".join(rng.choices(rare, k=300)), "ru") for i in range(20)]  # under 1 % of documents
-    rows += [(8000 + i, " ".join(rng.choices(rare, k=120)), "bg") for i in range(3)]  # few words: no reference
+    rows += [(8000 + i, " ".join(rng.choices(rare, k=120)), "bg") for i in range(3)]  # few documents
     rows += [(9000, " ".join(f"#{k}$" for k in range(300)), "ru")]
     docs = spark.createDataFrame(rows, f"{DOCS}, lang string")
     kept = {r.doc_id: r.kept for r in quality.quality_rules(docs).select("doc_id", "kept").collect()}
@@ -116,6 +116,17 @@ def test_quality_of_rare_languages(spark):
     assert all(kept[r.doc_id] == r.kept for r in fewer)
 
 
+@pytest.mark.parametrize("plain", [10, 40, 60, 400])
+def test_quality_verdict_does_not_switch_with_the_size_of_a_language(spark, plain):
+    rng = random.Random(6)
+    words = "the of and to in house garden".split() + [noise(i, "abcdefg", 6) for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=80)), "en") for i in range(plain)]
+    rows.append((9000, " ".join(f"#{k % 10}$" + "%" * (k % 7) for k in range(300)), "en"))
+    docs = spark.createDataFrame(rows, f"{DOCS}, lang string")
+    kept = {r.doc_id: r.kept for r in quality.quality_rules(docs).select("doc_id", "kept").collect()}
+    assert [d for d in kept if not kept[d]] == [9000]
+
+
 def near_rows():
     rng, rows = random.Random(2), []
     vocabulary = [f"w{i}" for i in range(400)]
