@@ -15,8 +15,10 @@ from tagmatch.plans.recommendation import (
     recommend_titled,
 )
 from tagmatch.plans.skew import Scale
+from tagmatch.sources.schemas import Columns
 
 __all__ = [
+    "Columns",
     "IdfModel",
     "Profiles",
     "Scale",

@@ -10,6 +10,7 @@ from tagmatch.operators.profiles import Profiles
 from tagmatch.operators.recommend import recommend_items
 from tagmatch.operators.similarity import cosine_similarity, most_similar
 from tagmatch.plans.skew import Scale
+from tagmatch.sources.schemas import Columns
 
 
 def recommend(
@@ -24,6 +25,7 @@ def recommend(
     zero: str = "keep",
     users: str = "list",
     scale: Scale = Scale(),
+    columns: Columns = Columns(),
 ) -> DataFrame:
     """(app_id, title, similar_user_ids): items liked by the k users most similar
     to the target and not yet held by it.
@@ -33,7 +35,9 @@ def recommend(
     idf: "plain" or "smoothed".
     zero: "keep" or "drop" users of similarity 0.
     users: "list", "set" or "counts", how neighbours are named.
+    columns: names of the columns of the three tables, and of the result.
     """
+    interactions, items, item_tags = (columns.standard(t) for t in (interactions, items, item_tags))
     catalog = item_catalog(items, item_tags, scope)
     if terms == "hashed":
         catalog = hash_catalog(catalog)
@@ -41,7 +45,8 @@ def recommend(
         raise ValueError(f"terms must be 'exact' or 'hashed', not {terms!r}")
     profiles = Profiles(positive_interactions(interactions), catalog, scale)
     similarities = cosine_similarity(profiles, target_user, idf, zero)
-    return recommend_items(profiles, most_similar(similarities, k), target_user, users)
+    found = recommend_items(profiles, most_similar(similarities, k), target_user, users)
+    return columns.restored(found)
 
 
 def recommend_titled(interactions, items, item_tags, target_user: int, **options) -> DataFrame:

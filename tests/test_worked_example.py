@@ -193,3 +193,17 @@ def test_target_of_common_words_only(spark):
 def test_unknown_options_are_refused(spark, option):
     with pytest.raises(ValueError):
         recommend(*worked.tables(spark), 1, **option)
+
+
+def test_tables_with_other_column_names(spark):
+    from tagmatch.sources.schemas import Columns
+
+    interactions, items, item_tags = worked.tables(spark)
+    columns = Columns(user="player", item="game", liked="thumbs_up", title="name", tags="labels")
+    renamed = {"user_id": "player", "app_id": "game", "is_recommended": "thumbs_up", "title": "name", "tags": "labels"}
+    # Columns of the standard names that mean something else are not read.
+    others = [t.withColumnsRenamed(renamed).selectExpr("*", "1 AS app_id", "'x' AS title") for t in (interactions, items, item_tags)]
+    found = recommend_titled(*others, worked.TARGET, columns=columns)
+    assert found.columns == ["game", "name", "similar_user_ids"]
+    plain = recommend_titled(interactions, items, item_tags, worked.TARGET)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
