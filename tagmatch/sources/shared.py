@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that stored tables were written to, in order.
+_written: list[str] = []
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """Path of a new folder under the session's ``spark.checkpoint.dir``.
@@ -27,5 +32,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     once for all later uses; a lost executor cannot take the table along."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored in the block are deleted at its end, by whatever way it ends.
+
+    Results are lazy and read stored tables, so write or collect them inside the block.
+    """
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for folder in _written[before:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        del _written[before:]

@@ -21,7 +21,7 @@ from tagmatch.operators.subset import (
 )
 from tagmatch.plans import skew
 from tagmatch.sources import files, testdata
-from tagmatch.sources.shared import shared_folder
+from tagmatch.sources.shared import shared_folder, stored, temporary_tables
 from tests.conftest import TESTDATA
 
 
@@ -285,3 +285,15 @@ def test_salted_join_equals_join(spark, hot):
     assert sorted(tuple(r) for r in joined.collect()) == sorted(
         tuple(r) for r in rows.join(table, "k").collect()
     )
+
+
+def test_temporary_tables_are_deleted_at_the_end_of_the_block(spark):
+    kept = stored(spark.range(3), "kept")
+    with pytest.raises(ZeroDivisionError), temporary_tables(spark):
+        gone = stored(spark.range(5), "gone")
+        assert gone.count() == 5
+        folder = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert os.path.isdir(folder)
+        1 / 0
+    assert not os.path.exists(folder)
+    assert kept.count() == 3
