@@ -258,7 +258,8 @@ class _Reader:
     def close(self, name: str) -> None:
         """End the last open element of the name; inline ones only back to a border."""
         depth = self.last((name,))
-        if depth >= 0 and (name in _BLOCK or not self.borders or depth > self.borders[-1] or name == self.stack[self.borders[-1]].name):
+        border = self.borders[-1] if self.borders else -1
+        if depth >= 0 and (name in _BLOCK or depth > border):
             self.pop_to(depth)
 
     def open(self, tag: _Tag) -> None:
@@ -279,11 +280,9 @@ class _Reader:
         marked = tag.start if (out or named) and tag.start not in self.spared else -1
         path = self.path(top.path, name) if name in _BLOCK else top.path
         at = len(self.stack)
-        self.stack.append(
-            _Open(
-                name, path, top.out or (out and marked >= 0), top.named or (named and marked >= 0), marked, self.mains, self.articles
-            )
-        )
+        out = top.out or (out and marked >= 0)
+        named = top.named or (named and marked >= 0)
+        self.stack.append(_Open(name, path, out, named, marked, self.mains, self.articles))
         self.places.setdefault(name, []).append(at)
         if name in _BLOCK and name != "p":
             self.blocks_open.append(at)

@@ -159,7 +159,7 @@ def test_long_conversations_are_solved_by_chunks(spark, tmp_path, monkeypatch):
 
 def test_cutting_into_chunks_does_not_change_the_answer():
     draw = random.Random(1)
-    for n in range(300):
+    for _ in range(300):
         facts = "".join(draw.choice("suaSUA-=#") for _ in range(draw.randrange(1, 14)))
         rows = conversations.fact_rows(facts)
         cost, audits = conversations.joined_ways([list(conversations.chunk_ways(rows))])
