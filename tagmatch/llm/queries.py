@@ -74,7 +74,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    # A row without an id has no fold: nothing is learned from it.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
     scored = toxicity.with_toxicity(docs, lexicon)

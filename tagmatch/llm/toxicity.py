@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmatch.llm.ship import ship
+from tagmatch.sources.shared import stored
 
 #: Labelled texts that the lexicon is learned from at most, chosen by a hash of doc_id.
 SAMPLE = 20_000
@@ -32,36 +34,44 @@ STEMS = range(4, 9)
 #: Least log ratio of its shares of toxic and of clean texts.
 MIN_WEIGHT = 2.0
 
-# Letters of other alphabets, full-width letters aside, that look Latin.
+# Letters of other alphabets that look Latin.
 LOOKALIKES = str.maketrans(
     "аеорсухіјѕԁһкмтвнґАЕОРСУХІЈЅКМТВНαοενιρτυκςΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
     "aeopcyxijsdhkmtbhraeopcyxijskmtbhaoevipTukcabezhikmnoptyx".lower(),
 )
 # Digits and signs written for letters.
-DIGITS = str.maketrans("01345789@$", "oieastbgas")
+DIGITS = str.maketrans("01345789@$!|", "oieastbgasil")
 # Phrases in which a lexicon word is harmless.
 EXCEPTIONS = (
     "idiot proof", "clown fish", "clown nose", "circus clown", "trash can", "trash bin", "take out the trash",
     "stupid question", "no such thing as a stupid question", "sore loser", "pond scum", "pathetic fallacy",
 )
 
-_FULL_WIDTH = {0xFF01 + i: 0x21 + i for i in range(94)}
-_MARKED = re.compile(r"[^\s]*[0-9@$][^\s]*")
-_HAS_MARKS = re.compile(r"[0-9@$]")
+# Accents, and characters that are not seen: joiners, marks of direction, soft hyphens.
+_UNSEEN = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]+")
+_MARKED = re.compile(r"[^\s]*[0-9@$!|][^\s]*")
+_HAS_MARKS = re.compile(r"[0-9@$!|]")
+#: A sign of punctuation stands for a letter only before another.
+_INNER = re.compile(r"[0-9@$]|[!|](?=\w)")
+_GAPS = re.compile(r"[\s\-]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def _unmasked(token: re.Match) -> str:
+    return _INNER.sub(lambda m: m[0].translate(DIGITS), token[0]) if any(map(str.isalpha, token[0])) else token[0]
+
+
 def fold(text: str) -> str:
-    """The text in lower case, look-alike letters as Latin ones, and digits as letters in
-    tokens that also have letters."""
+    """The text in lower case: letters of fonts and widths, accented and look-alike ones as
+    plain Latin letters, digits and signs as letters in tokens that also have letters,
+    characters that are not seen left out, and white space and hyphens as one blank."""
     if not text.isascii():
-        text = text.translate(_FULL_WIDTH).translate(LOOKALIKES)
+        text = unicodedata.normalize("NFKD", text.translate(LOOKALIKES))
+        text = _UNSEEN.sub("", text).translate(LOOKALIKES)
     text = text.lower()
     if _HAS_MARKS.search(text):
-        text = _MARKED.sub(
-            lambda m: m[0].translate(DIGITS) if any(c.isalpha() for c in m[0]) else m[0], text
-        )
-    return text
+        text = _MARKED.sub(_unmasked, text)
+    return _GAPS.sub(" ", text)
 
 
 @dataclass(frozen=True)
@@ -92,7 +102,7 @@ class Matcher:
 
     def total(self, text: str) -> float:
         """Sum of the weights of words that begin like a lexicon word, outside exception
-        phrases."""
+        phrases. A phrase is whole words; its last may have an s more."""
         if self.empty:
             return 0.0
         folded, found, harmless = fold(text), [], []
@@ -100,7 +110,10 @@ class Matcher:
             start = last - size + 1
             if start and folded[start - 1].isalpha():
                 continue
-            (found if weight else harmless).append((start, last, weight))
+            if weight:
+                found.append((start, last, weight))
+            elif not _LETTERS.match(folded, last + 1 + folded.startswith("s", last + 1)):
+                harmless.append((start, last, weight))
         if not harmless:
             return sum(w for _, _, w in found)
         covered = np.zeros(len(folded), dtype=bool)
@@ -181,13 +194,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
 
     Stems are taken only while they explain toxic texts that those before don't, so
     that words that merely come with others, or with copies of one text, stay out. At
-    most ``sample`` labelled texts, by a hash of doc_id, are used.
+    most ``sample`` labelled texts, by a hash of doc_id, are used. Of several texts of a
+    doc_id the greatest is learned from, and of several labels the toxic one.
     Without toxic or clean texts the lexicon is empty and all scores are low.
     """
     ship(docs.sparkSession)
     chosen = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    labelled = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    labelled = docs.select("doc_id", "text").join(chosen, "doc_id")
+    labelled = stored(labelled.groupBy("doc_id", "toxic").agg(F.max("text").alias("text")), "labelled")
     sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:

@@ -75,16 +75,16 @@ def quality_base(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(inside)
 
 
-def shingles(text):
+def shingles(text, size=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def near_components(docs):
+def near_components(docs, size=4):
     """{doc_id: (set size, least doc_id of its component)}."""
-    sets = {doc: shingles(text) for doc, text in docs}
+    sets = {doc: shingles(text, size) for doc, text in docs}
     parent = {doc: doc for doc in sets}
 
     def find(x):
@@ -139,3 +139,20 @@ def repeats(docs):
         kept = bytes(x for x, c in zip(b, cover) if not c)
         out.append((doc, len(b), sum(cover), runs, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def toxic_total(folded, weights, exceptions):
+    """Sum of weights over a folded text, place by place."""
+    covered, total = set(), 0.0
+    starts = [i for i in range(len(folded)) if i == 0 or not folded[i - 1].isalpha()]
+    for i in starts:
+        for phrase in exceptions:
+            end = i + len(phrase)
+            after = folded[end:].removeprefix("s")[:1]
+            if folded.startswith(phrase, i) and not after.isalpha():
+                covered.update(range(i, end))
+    for i in starts:
+        for stem, weight in weights.items():
+            if folded.startswith(stem, i) and not set(range(i, i + len(stem))) <= covered:
+                total += weight
+    return total

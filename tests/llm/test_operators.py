@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -245,6 +246,42 @@ def test_toxicity(spark):
     assert toxicity.with_toxicity(docs.limit(0), lexicon).count() == 0
 
 
+DISGUISED = {
+    "clown fish": 0, "clown\nfish": 0, "Clown  Fishs": 0, "clown-fish": 0, "clown fishing": 3, "trash cannot": 3,
+    "trash cans": 0, "CLÓWN": 3, "c\u200blo\u00adwn": 3, "\U0001d41c\U0001d425\U0001d428\U0001d430\U0001d427": 3,
+    "\uff43\uff4c\uff4f\uff57\uff4e": 3, "!d!ot": 3, "1d|ot": 0, "c|own!": 3, "xclown": 0, "clown clowns": 6,
+}
+
+
+@pytest.mark.parametrize("text", DISGUISED)
+def test_toxic_words_in_disguise(text):
+    matcher = toxicity.Matcher(toxicity.Lexicon({"clown": 3.0, "idiot": 3.0, "trash": 3.0}))
+    assert matcher.total(text) == DISGUISED[text]
+
+
+def test_toxic_sums_equal_a_search_place_by_place():
+    weights, rng = {"clown": 2.0, "idi": 3.5, "idiot": 1.0, "trash": 4.0, "sore": 2.5}, random.Random(3)
+    parts = ["clown", "idiot", "proof", "fish", "trash", "can", "cans", "sore", "loser", "x", "s", " ", " ", " ", "-", "\n",
+             "1", "!", "\u200b", "é", "о"]
+    matcher = toxicity.Matcher(toxicity.Lexicon(weights))
+    phrases = [toxicity.fold(p) for p in toxicity.EXCEPTIONS]
+    totals = Counter()
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        want = brute.toxic_total(toxicity.fold(text), weights, phrases)
+        assert matcher.total(text) == want, text
+        totals[want] += 1
+    assert len(totals) > 10
+
+
+def test_toxicity_learns_alike_from_doubled_ids(spark):
+    rows = [(i, f"plain words here {'vilething' if i % 4 == 0 else 'finething'} n{i}") for i in range(80)]
+    doubled = rows + [(i, "another text") for i, _ in rows]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    lexicons = [toxicity.learn(frame(spark, order), labels) for order in (doubled, doubled[::-1])]
+    assert lexicons[0] == lexicons[1] and lexicons[0].weights
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">menu</a></li></ul></nav>
 <div id="cookie-notice">We use cookies, ok?</div><!-- ad --><div class="ad">Buy this, now.</div>

@@ -22,7 +22,7 @@ def test_pipeline(spark, tmp_path):
             assert kept[name] == {d: t for d, t in want.items() if t or not before[d]}
             assert all(r.n_chars == len(r.text) for r in docs.collect())
         if name == "near_dup":
-            want = brute.near_components(sorted(before.items()))
+            want = brute.near_components(sorted(before.items()), 5)
             assert kept[name].keys() == {d for d, (_, least) in want.items() if d == least}
         if name == "decontaminate":
             clean = {d for d, _, hit, _ in brute.contamination(before.items(), map(tuple, items)) if not hit}
