@@ -174,6 +174,65 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
             doc_id = coalesce(component_id, doc_id) AS kept
         FROM s LEFT JOIN sets ON s.shingles = sets.shingles LEFT JOIN least USING (one)""",
+    "op5_decontaminate": """
+        WITH b AS MATERIALIZED (
+            SELECT DISTINCT item_id::VARCHAR AS item_id, text, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM benchmark),
+        item_windows AS MATERIALIZED (
+            SELECT item_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 10 THEN [words]
+                ELSE list_transform(range(len(words) - 9), lambda i: words[i + 1 : i + 10]) END) AS words
+            FROM b),
+        windows AS MATERIALIZED (
+            SELECT words, len(words) AS size, row_number() OVER () AS win FROM (SELECT DISTINCT words FROM item_windows)),
+        terms AS MATERIALIZED (
+            SELECT win, size, slot, CASE WHEN size = 1 THEN words[1] ELSE words[slot + 1] || ' ' || words[slot + 2] END AS term
+            FROM (SELECT win, size, words, unnest(range(greatest(1, size - 1))) AS slot FROM windows)),
+        d AS MATERIALIZED (
+            SELECT doc_id, text, row_number() OVER () AS doc, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM (SELECT DISTINCT doc_id, text FROM documents)),
+        places AS (SELECT doc, words, unnest(range(len(words))) AS pos FROM d),
+        postings AS MATERIALIZED (
+            SELECT doc, pos, term FROM (
+                SELECT doc, pos, words[pos + 1] || ' ' || words[pos + 2] AS term FROM places WHERE pos + 2 <= len(words)
+                UNION ALL SELECT doc, pos, words[pos + 1] FROM places)
+            WHERE term IN (SELECT term FROM terms)),
+        ranked AS MATERIALIZED (
+            SELECT terms.*, row_number() OVER (PARTITION BY win ORDER BY n, slot) AS place,
+                count(n) OVER (PARTITION BY win) = count(*) OVER (PARTITION BY win) AS all_known
+            FROM terms LEFT JOIN (SELECT term, count(*) AS n FROM postings GROUP BY term) USING (term)),
+        found AS MATERIALIZED (
+            SELECT doc, win, pos - slot AS start, any_value(size) AS size
+            FROM postings JOIN terms USING (term) GROUP BY doc, win, pos - slot
+            HAVING count(DISTINCT slot) = greatest(1, any_value(size) - 1)),
+        near AS (
+            SELECT DISTINCT p.doc, r.win
+            FROM postings p JOIN ranked r ON p.term = r.term AND r.place = 1 AND r.all_known AND p.pos >= r.slot
+            JOIN ranked s ON s.win = r.win AND s.place = 2
+            JOIN postings q ON q.doc = p.doc AND q.term = s.term AND abs(q.pos - (p.pos - r.slot) - s.slot) <= 20),
+        hits AS (
+            SELECT doc, count(DISTINCT pos) AS n_hit
+            FROM (SELECT doc, unnest(range(start, start + size)) AS pos FROM found) GROUP BY doc),
+        named AS (
+            SELECT doc, list_sort(list(DISTINCT item_id)) AS ids
+            FROM found JOIN windows USING (win) JOIN item_windows i ON i.words = windows.words
+            WHERE item_id IS NOT NULL GROUP BY doc),
+        close AS (
+            SELECT doc, list(DISTINCT item_id) AS ids
+            FROM near JOIN windows USING (win) JOIN item_windows i ON i.words = windows.words
+            WHERE item_id IS NOT NULL GROUP BY doc)
+        SELECT documents.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            len(coalesce(named.ids, []))::BIGINT AS n_items,
+            sha256(array_to_string(coalesce(named.ids, []), ',')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated,
+            len(list_filter(coalesce(close.ids, []),
+                lambda x: NOT list_contains(coalesce(named.ids, []), x)))::BIGINT AS n_near_items
+        FROM documents
+        JOIN d ON documents.doc_id IS NOT DISTINCT FROM d.doc_id AND documents.text IS NOT DISTINCT FROM d.text
+        LEFT JOIN hits USING (doc) LEFT JOIN named USING (doc) LEFT JOIN close USING (doc)""",
     "op11_hard_negatives": """
         WITH v AS (
             SELECT vec_id,
