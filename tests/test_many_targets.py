@@ -189,3 +189,18 @@ def test_later_targets_exchange_no_counts(spark, small_table):
     scans = [n for n in final_nodes(found) if n.nodeName().startswith("Scan") and "In(word" in n.simpleString(1000)]
     assert "hashpartitioning(user_id" in dealt
     assert scans and rows < store.by_user.count() / 2
+
+
+def test_no_row_per_pair_is_made_where_all_share_words(spark):
+    """Every user has a word of every target; of their pairs, no node makes rows."""
+    draw = random.Random(3)
+    tags = {item: [f"w{w}" for w in draw.sample(range(12), 4)] for item in range(40)}
+    liked = [(u, item) for u in range(300) for item in draw.sample(range(40), 6)]
+    store = store_profiles(profiles_of(spark, liked, tags))
+    users = list(range(300))
+    targets = spark.createDataFrame([(u,) for u in users], "user_id long")
+    found = nearest_users(store, targets, zero="drop")
+    nodes = final_nodes(found)
+    made = [n.metrics().apply("numOutputRows").value() for n in nodes if n.metrics().contains("numOutputRows")]
+    assert 0 < max(made) < len(users) * len(users) / 8
+    assert rows_of(found) == by_brute_force(liked, tags, users, 3, "plain", "drop")
