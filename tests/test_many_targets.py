@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tagmatch import Scale
+from tagmatch.operators import recommend
 from tagmatch.operators.catalog import item_catalog
 from tagmatch.operators.interactions import positive_interactions
 from tagmatch.operators.neighbours import nearest_users
@@ -13,7 +14,7 @@ from tagmatch.operators.similarity import cosine_similarity, most_similar
 from tagmatch.operators.recommend import recommend_many
 from tagmatch.operators.store import open_profiles, store_profiles, stored_similarity
 from tagmatch.sources import testdata
-from tagmatch.sources.shared import shared_folder
+from tagmatch.sources.shared import shared_folder, stored
 from tests import brute_force
 from tests.conftest import TESTDATA
 
@@ -204,3 +205,31 @@ def test_no_row_per_pair_is_made_where_all_share_words(spark):
     made = [n.metrics().apply("numOutputRows").value() for n in nodes if n.metrics().contains("numOutputRows")]
     assert 0 < max(made) < len(users) * len(users) / 8
     assert rows_of(found) == by_brute_force(liked, tags, users, 3, "plain", "drop")
+
+
+def test_recommendations_meet_no_row_per_pair_where_all_share_words(spark, monkeypatch):
+    """From the users' words to the items: what is read of the neighbours, and what of them."""
+    draw = random.Random(8)
+    tags = {item: [f"w{w}" for w in draw.sample(range(12), 4)] for item in range(40)}
+    liked = [(u, item) for u in range(300) for item in draw.sample(range(40), 6)]
+    words, titles = {i: brute_force.words_of(t) for i, t in tags.items()}, {i: f"t{i}" for i in tags}
+    profiles = profiles_of(spark, liked, tags)
+    people = []
+
+    def seen(df, name):
+        people.append(df)
+        return stored(df, name)
+
+    monkeypatch.setattr(recommend, "stored", seen)
+    wanted = spark.createDataFrame([(u,) for u in range(300)], "user_id long")
+    neighbours = nearest_users(store_profiles(profiles), wanted, zero="drop")
+    got = {}
+    for r in recommend_many(profiles, neighbours, "set").collect():
+        got.setdefault(r.target_user, {})[r.app_id, r.title] = list(r.similar_user_ids)
+    nodes = final_nodes(people[0])
+    made = [n.metrics().apply("numOutputRows").value() for n in nodes if n.metrics().contains("numOutputRows")]
+    assert 0 < max(made) < 300 * 300 / 8
+    for target in range(0, 300, 20):
+        near = brute_force.nearest(brute_force.similarities(liked, words, target))
+        names = brute_force.recommended(liked, words, titles, near, target)
+        assert got[target] == {key: sorted(set(of)) for key, of in names.items()}
