@@ -1,6 +1,8 @@
 """Stored profiles and the neighbours of many targets, against single runs and plain Python."""
 
 import random
+import time
+from pathlib import Path
 
 import pytest
 
@@ -233,3 +235,56 @@ def test_recommendations_meet_no_row_per_pair_where_all_share_words(spark, monke
         near = brute_force.nearest(brute_force.similarities(liked, words, target))
         names = brute_force.recommended(liked, words, titles, near, target)
         assert got[target] == {key: sorted(set(of)) for key, of in names.items()}
+
+
+def with_large_catalog(spark, sparse, seen=None):
+    """Profiles of a catalog that is not broadcast, though its words are."""
+    profiles = profiles_of(spark, *sparse, Scale(broadcast_bytes=18_000))
+    assert not profiles.small and profiles.words_fit
+    if seen is None:
+        return profiles
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    liked = spark.createDataFrame(sparse[0], "user_id long, app_id long").mapInArrow(counted, "user_id long, app_id long")
+    return Profiles(liked, profiles.catalog, profiles.scale)
+
+
+def test_liked_rows_are_read_once_with_a_large_catalog(spark, sparse):
+    """The rows come from a join in practice, which every reading shuffles again."""
+    liked, tags = sparse
+    read = spark.sparkContext.accumulator(0)
+    profiles = with_large_catalog(spark, sparse, read)
+    targets = (101, 115, 500, 5)
+    wanted = spark.createDataFrame([(t,) for t in targets], "user_id long")
+    got = {}
+    for r in recommend_many(profiles, nearest_users(store_profiles(profiles), wanted), "set").collect():
+        got.setdefault(r.target_user, {})[r.app_id, r.title] = list(r.similar_user_ids)
+    assert read.value == len(liked)
+    words, titles = {i: brute_force.words_of(t) for i, t in tags.items()}, {i: f"t{i}" for i in tags}
+    for target in targets:
+        near = brute_force.nearest(brute_force.similarities(liked, words, target))
+        names = brute_force.recommended(liked, words, titles, near, target)
+        assert got.get(target, {}) == {key: sorted(set(of)) for key, of in names.items()}
+
+
+def test_storing_leaves_no_shuffled_rows_and_no_counts(spark, sparse):
+    profiles = with_large_catalog(spark, sparse)
+    profiles.counts  # what it stores is not asked for here
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+
+    def shuffled():
+        return {file for folder in folders for file in Path(folder).rglob("shuffle_*")}
+
+    shuffles, tables, names = shuffled(), set(base.iterdir()), {t.name for t in spark.catalog.listTables()}
+    store_profiles(profiles)
+    until = time.time() + 10
+    while shuffled() - shuffles and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - shuffles
+    assert [folder.name.split("-")[0] for folder in set(base.iterdir()) - tables] == ["profiles"]
+    assert len({t.name for t in spark.catalog.listTables()} - names) == 1
