@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmatch.llm.ship import ship
-from tagmatch.sources.shared import stored
+from tagmatch.sources.shared import small_batches, stored
 
 CAPACITY = 2048
 END_ID = 1
@@ -172,7 +172,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
         _cut(tokenizer_path, capacity), PIECES
     )
-    pieces = stored(cut, "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = stored(cut, "pieces")
     counts = pieces.groupBy("per", "worker").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("per").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(

@@ -8,15 +8,17 @@ are there for every document, that of a rare language for its own documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmatch.llm.ship import ship
+from tagmatch.sources.shared import TEXTS_AT_ONCE, small_batches
 
 # Common words of the languages that references are made for.
 COMMON_WORDS = (
@@ -169,7 +171,7 @@ def js_distance(rows: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(nearest, 0.0, 1.0))
 
 
-def _encoded(texts: pd.Series) -> Iterator[bytes]:
+def _encoded(texts: Iterable[str | None]) -> Iterator[bytes]:
     for text in texts:
         yield b"" if text is None else text.encode()
 
@@ -221,7 +223,8 @@ def language_references(docs: DataFrame, share: float = 0.01, most: int = 10_000
     sized = sized.orderBy(F.col("docs").desc(), "lang").limit(most)
     is_common = F.col("docs") >= F.col("total") * share
     width = CLASSES + len(VOCABULARY) + 1
-    found = sized.select("lang", "docs", "counts", is_common.alias("common")).collect()
+    with small_batches(docs.sparkSession):
+        found = sized.select("lang", "docs", "counts", is_common.alias("common")).collect()
     rows = sorted(found, key=lambda r: (r["lang"] or "", r["lang"] is not None))
     histograms = [np.array([r["counts"][i + 1] for i in range(width)]) for r in rows]
     return References(
@@ -244,32 +247,35 @@ def _distances(rows: np.ndarray, langs: np.ndarray, references: References, part
 
 
 def _features(references: References):
-    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, own in batches:
-            langs = np.array([None if lang is None else str(lang) for lang in own], dtype=object)
-            base, classes, commons = [], [], []
-            for data in _encoded(texts):
-                numbers, ids = numbered(data.split())
-                chars = class_histogram(data)
-                blanks = sum(data.count(c) for c in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"))
-                base.append(
-                    (len(ids), int(chars.sum()) - blanks, int(chars[SYMBOL]), duplicate_lines(data),
-                     repeated_words(len(numbers), ids))
-                )
-                classes.append(chars)
-                commons.append(word_histogram(numbers, ids))
-            names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-            out = pd.DataFrame(base, columns=names, dtype="int64")
-            out["class_distance"] = _distances(
-                np.array(classes).reshape(-1, CLASSES), langs, references, slice(None, CLASSES)
+    names = [c.split()[0] for c in FEATURES.split(", ")]
+
+    def measured(texts: pa.Array, own: pa.Array) -> pa.Array:
+        langs = np.array(own.to_pylist(), dtype=object)
+        base, classes, commons = [], [], []
+        for data in _encoded(texts.to_pylist()):
+            numbers, ids = numbered(data.split())
+            chars = class_histogram(data)
+            blanks = sum(data.count(c) for c in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"))
+            base.append(
+                (len(ids), int(chars.sum()) - blanks, int(chars[SYMBOL]), duplicate_lines(data),
+                 repeated_words(len(numbers), ids))
             )
-            out["word_distance"] = _distances(
-                np.array(commons).reshape(-1, len(VOCABULARY) + 1), langs, references, slice(CLASSES, None)
-            )
-            out["reference_docs"] = [references.docs.get(lang, 0) for lang in langs]
-            yield out
+            classes.append(chars)
+            commons.append(word_histogram(numbers, ids))
+        by_class = _distances(np.array(classes).reshape(-1, CLASSES), langs, references, slice(None, CLASSES))
+        by_word = _distances(
+            np.array(commons).reshape(-1, len(VOCABULARY) + 1), langs, references, slice(CLASSES, None)
+        )
+        known = np.array([references.docs.get(lang, 0) for lang in langs], dtype=np.int64)
+        columns = [*np.array(base, dtype=np.int64).reshape(-1, 5).T, by_class, by_word, known]
+        return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def measure(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, own in batches:  # of one batch, few texts at once become Python objects
+            for start in range(0, len(texts), TEXTS_AT_ONCE):
+                yield measured(texts.slice(start, TEXTS_AT_ONCE), own.slice(start, TEXTS_AT_ONCE))
 
-    return F.pandas_udf(measure, FEATURES)
+    return F.arrow_udf(measure, FEATURES)
 
 
 def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
